@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from newsloom.llm import garbled, history, repeats, turns
+from newsloom.llm import garbled, history, leaks, packing, repeats, splitting, turns
 from newsloom.runtime import table
 
 
@@ -35,6 +34,22 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p5_turns(spark, sf_dir).select("vtt_id", "first_cue_no", "speaker")
 
 
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
+def p9_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.cleaned(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.pieces(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("p") and n[1:2].isdigit() and callable(f)}
 
