@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.functions.text import is_blank, letters
+from newsloom.functions.text import is_blank, letters, strip
 from newsloom.functions.urls import spelling_key
 from newsloom.runtime import cut
 
@@ -34,18 +34,15 @@ _SCAN = (
 def title_key(title: Column) -> Column:
     """Letters and digits in order, case aside; the parts around ``|`` in the order that sorts first."""
     parts = F.transform(F.split(title, r"\|"), letters)
-    return F.array_join(
+    return F.when(~title.contains("|"), letters(title)).otherwise(F.array_join(
         F.array_sort(parts, lambda a, b: F.when(F.concat(a, b) < F.concat(b, a), -1).when(F.concat(a, b) > F.concat(b, a), 1).otherwise(0)), ""
-    )
+    ))
 
 
 def canonical(items: DataFrame) -> DataFrame:
     """ordinal, title_key, url_key of the rows that can be compared."""
-    return items.where(~is_blank(F.col("title")) & ~is_blank(F.col("url"))).select(
-        F.col("ordinal").cast("long").alias("ordinal"),
-        title_key(F.col("title")).alias("title_key"),
-        spelling_key(F.col("url")).alias("url_key"),
-    )
+    rows = items.where(~is_blank(F.col("title"))).select(F.col("ordinal").cast("long").alias("ordinal"), "title", strip(F.col("url")).alias("u"))
+    return rows.where("u <> ''").select("ordinal", title_key(F.col("title")).alias("title_key"), spelling_key(F.col("u")).alias("url_key"))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +91,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def grouped(items: DataFrame, partitions: int | None = None) -> DataFrame:
     """first_ordinal, ordinal: every comparable row with the smallest ordinal of its group."""
-    keyed = canonical(items)
+    keyed = cut(canonical(items), "p7-keys")  # read twice: for the bounds of the ranges, and to be sorted
     n = partitions or int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["title_key", "url_key", "ordinal"]
     scanned = cut(keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(_scan, _SCAN), "p7-scan")
