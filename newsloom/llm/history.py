@@ -46,30 +46,42 @@ VIDEO_HOSTS = ("vids.example", "vid.example")
 IDLE_PARAMS = "^(?:utm_.*|from|share|feature|t|ref|ref_src|source|spm|fbclid|gclid|igshid|mkt_tok|mc_cid|mc_eid|_hsenc|_hsmi|amp|output|list|index|si|pp)$"
 
 
-def page_key(url: Column) -> Column:
-    """Equal for urls that name the same page or video; null for a blank url."""
-    u = strip(url)
-    host = F.regexp_replace(F.lower(F.regexp_extract(u, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1)), r"^(?:(?:www|m|amp|mobile)\.)+|:(?:80|443)$", "")
-    path = F.regexp_replace(F.regexp_extract(u, r"^(?:(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?#]*)?([^?#]*)", 1), r"(?:/amp|/index\.html?|\.amp|\.html?|/)+$", "")
-    kept = F.filter(params(u), lambda p: ~F.lower(F.substring_index(p, "=", 1)).rlike(IDLE_PARAMS))
-    query = F.array_join(F.array_sort(F.transform(kept, unescape)), "&")
-    video = F.coalesce(
-        F.nullif(F.regexp_extract(u, r"[?&]v=([^&#]+)", 1), F.lit("")),
-        F.nullif(F.regexp_extract(path, r"^/(?:shorts|live|embed|v)/([^/]+)$", 1), F.lit("")),
-        F.nullif(F.regexp_extract(path, r"^/([^/]+)$", 1), F.lit("")),
+def with_keys(rows: DataFrame) -> DataFrame:
+    """ordinal, id_key, page_key, summary_key of (ordinal, id, url, summary); null where there is none.
+
+    Page keys are equal for urls that name the same page or video, summary keys for summaries of the
+    same letters. The steps are projections of their own, so that each value is computed once.
+    """
+    u = F.col("u")
+    steps = rows.select("ordinal", "id", strip(F.col("url")).alias("u"), F.regexp_replace(F.lower("summary"), r"[^\p{L}\p{N}]+", "").alias("s"))
+    steps = steps.select(
+        "ordinal",
+        "id",
+        "s",
+        "u",
+        F.lower(F.regexp_extract(u, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:(?:www|m|amp|mobile)\.)*([^/?#]*)", 1)).alias("host"),
+        F.regexp_extract(u, r"^(?:(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?#]*)?([^?#]*)", 1).alias("path"),
+        F.filter(params(u), lambda p: ~F.lower(F.substring_index(p, "=", 1)).rlike(IDLE_PARAMS)).alias("kept"),
+    )
+    steps = steps.select("ordinal", "id", "s", "u", F.regexp_replace("host", ":(?:80|443)$", "").alias("host"), F.regexp_replace("path", r"(?:/amp|/index\.html?|\.amp|\.html?|/)+$", "").alias("path"), "kept")
+    video = F.when(
+        F.col("host").isin(*VIDEO_HOSTS),
+        F.coalesce(
+            F.nullif(F.regexp_extract(F.array_join("kept", "&"), r"(?:^|&)v=([^&]+)", 1), F.lit("")),
+            F.nullif(F.regexp_extract("path", r"^/(?:(?:shorts|live|embed|v)/)?([^/]+)$", 1), F.lit("")),
+        ),
+    )
+    page = F.concat_ws("\u0001", "host", unescape(F.col("path")), F.array_join(F.array_sort(F.transform("kept", unescape)), "&"))
+    return steps.select(
+        "ordinal",
+        F.nullif(strip(F.col("id")), F.lit("")).alias("id_key"),
+        F.when(F.col("u") != "", F.coalesce(F.concat(F.lit("video\u0001"), video), page)).alias("page_key"),
+        F.nullif(F.col("s"), F.lit("")).alias("summary_key"),
     )
-    page = F.concat_ws("\u0001", host, unescape(path), query)
-    return F.when(is_blank(url), None).when(host.isin(*VIDEO_HOSTS) & video.isNotNull(), F.concat(F.lit("video\u0001"), video)).otherwise(page)
-
-
-def summary_key(summary: Column) -> Column:
-    """Equal for summaries with the same words; null for blank ones."""
-    words = F.regexp_replace(F.regexp_replace(F.lower(summary), r"[^\p{L}\p{N}\s]+", ""), r"\s+", " ")
-    return F.when(is_blank(summary), None).otherwise(strip(words))
 
 
-def _hashes(kind: int, key: Column) -> Column:
-    return F.when(key.isNotNull() & (key != ""), F.struct(F.xxhash64(F.lit(kind), key).alias("h1"), F.xxhash64(key, F.lit(~kind)).alias("h2")))
+def _hashes(kind: int, key: str) -> Column:
+    return F.when(F.col(key).isNotNull(), F.struct(F.xxhash64(F.lit(kind), key).alias("h1"), F.xxhash64(key, F.lit(~kind)).alias("h2")))
 
 
 # ---- words -------------------------------------------------------------------------------------
@@ -297,8 +309,9 @@ class History:
         self._compact()
         rows = batch.select(F.col("ordinal").cast("long").alias("ordinal"), F.col("id").cast("string").alias("id"), "url", "summary").where("ordinal is not null")
         # Equal keys.
-        each = F.array(_hashes(0, F.when(~is_blank(F.col("id")), F.col("id"))), _hashes(1, page_key(F.col("url"))), _hashes(2, summary_key(F.col("summary"))))
-        keyed = rows.select("ordinal", F.explode(F.filter(each, lambda k: k.isNotNull())).alias("k")).select("ordinal", "k.h1", "k.h2")
+        each = F.array(*[_hashes(kind, key) for kind, key in enumerate(("id_key", "page_key", "summary_key"))])
+        hashed = with_keys(rows).select("ordinal", each.alias("each"))
+        keyed = cut(hashed.select("ordinal", F.explode("each").alias("k")).where("k is not null").select("ordinal", "k.h1", "k.h2"), "keyed")
         old = self._read(self.keys, "h1 long, h2 long, first long")
         least = keyed.groupBy("h1", "h2").agg(F.min("ordinal").alias("first"))
         if self.keys:
