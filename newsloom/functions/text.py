@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 EDGE = r"[\s\u0085   -‍    ⁠　﻿]+"
 
 
+# Letters that upper case writes as several.
+FOLDED = {"ß": "ss", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl"}
+
+
 def strip(c: Column) -> Column:
     """Without Unicode white space and invisible marks at the ends."""
     return F.regexp_replace(c, f"^{EDGE}|{EDGE}$", "")
@@ -25,8 +29,14 @@ def squeeze(c: Column) -> Column:
 
 
 def fold(c: Column) -> Column:
-    """Case set aside; through upper case, so that one sharp s equals two plain ones."""
-    return F.lower(F.upper(c))
+    """Case set aside as by full case folding: also the sharp s, long s, final sigma and the ligatures.
+
+    Lower case of upper case would say the same, but the optimizer takes it for plain lower case.
+    """
+    low = F.translate(F.lower(c), "ſς\u0131", "sσi")
+    for one, many in FOLDED.items():
+        low = F.replace(low, F.lit(one), F.lit(many))
+    return low
 
 
 def letters(c: Column) -> Column:
