@@ -12,7 +12,7 @@ one word. The suffix array holds the suffixes at those three places; the substri
 binary-searched in it, long matches give pairs, and the words that a pair covers in common are
 counted to the end (`covers`). Equal summaries are collapsed before the shuffle.
 
-Defined results: a null or blank summary, url or id agrees with nothing; of fewer than four words
+Defined results: a null or blank summary, url or id agrees with nothing; of at most three words
 only equal summaries agree, of four to six one word may differ; Han characters count as words;
 rows with equal ordinal are one row; links are followed on, so the first row of an item is the
 smallest ordinal that can be reached; rows without first_seen_at belong to the last batch.
@@ -53,7 +53,7 @@ def with_keys(rows: DataFrame) -> DataFrame:
     same letters. The steps are projections of their own, so that each value is computed once.
     """
     u = F.col("u")
-    steps = rows.select("ordinal", "id", strip(F.col("url")).alias("u"), F.regexp_replace(F.lower("summary"), r"[^\p{L}\p{N}]+", "").alias("s"))
+    steps = rows.select("ordinal", "id", strip(F.col("url")).alias("u"), F.trim(F.regexp_replace(F.lower("summary"), r"[^\p{L}\p{N}]+", " ")).alias("s"))
     steps = steps.select(
         "ordinal",
         "id",
@@ -149,7 +149,7 @@ def _entries(shards: int):
             # Equal summaries: the first stands for all; the others are linked by their key.
             first = np.zeros(len(n), bool)
             first[list({w: i for i, w in reversed(list(enumerate(words)))}.values())] = True
-            rec = np.flatnonzero(first & (n >= 4))
+            rec = np.flatnonzero(first & (n >= 3))
             s, e, n = starts[:-1][rec], starts[1:][rec], n[rec]
             own = stretch(n)
             parts = []
@@ -309,9 +309,10 @@ class History:
         self._compact()
         rows = batch.select(F.col("ordinal").cast("long").alias("ordinal"), F.col("id").cast("string").alias("id"), "url", "summary").where("ordinal is not null")
         # Equal keys.
-        each = F.array(*[_hashes(kind, key) for kind, key in enumerate(("id_key", "page_key", "summary_key"))])
-        hashed = with_keys(rows).select("ordinal", each.alias("each"))
-        keyed = cut(hashed.select("ordinal", F.explode("each").alias("k")).where("k is not null").select("ordinal", "k.h1", "k.h2"), "keyed")
+        # Written before it is exploded: a filter that the optimizer derives from an explode would repeat all expressions.
+        kinds = [_hashes(kind, key).alias(key) for kind, key in enumerate(("id_key", "page_key", "summary_key"))]
+        wide = cut(with_keys(rows).select("ordinal", *kinds), "keys")
+        keyed = wide.select("ordinal", F.explode(F.array("id_key", "page_key", "summary_key")).alias("k")).where("k is not null").select("ordinal", "k.h1", "k.h2")
         old = self._read(self.keys, "h1 long, h2 long, first long")
         least = keyed.groupBy("h1", "h2").agg(F.min("ordinal").alias("first"))
         if self.keys:

@@ -34,6 +34,8 @@ SHARE, ALTERED = 0.5, 12
 BLOCK_ITEMS = 2_000
 #: Words that an alteration may span at most, in the item and in the text.
 GAP = 6
+#: Words before and behind an equal stretch in which shorter ones are looked for.
+ENDS = 2 * GAP
 
 _TOKEN = re.compile(r"[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
 _TAG = re.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->", re.S)
@@ -159,7 +161,25 @@ def _blocks(item: np.ndarray, text: np.ndarray, hits: list[int], least: int = 3)
         length = np.diff(np.append(start, len(i)))
         keep = length >= least
         blocks += zip(i[start[keep]].tolist(), (j[start[keep]] + a).tolist(), length[keep].tolist(), strict=True)
-    return sorted(blocks, key=lambda b: (b[1], b[0]))
+    return sorted(_with_ends(blocks, item, text), key=lambda b: (b[1], b[0]))
+
+
+def _with_ends(blocks: list[tuple[int, int, int]], item: np.ndarray, text: np.ndarray) -> set[tuple[int, int, int]]:
+    """Also the shorter equal stretches just before and behind each block, where a word was altered near an end."""
+    out = set(blocks)
+    n, m = len(item), len(text)
+    for i, j, size in blocks:
+        for moved in (-1, 0, 1):
+            for a, b in ((i - ENDS, j - ENDS + moved), (i + size, j + size + moved)):
+                k = 0
+                while k < ENDS:
+                    run = 0
+                    while k + run < ENDS and 0 <= a + k + run < n and 0 <= b + k + run < m and item[a + k + run] == text[b + k + run]:
+                        run += 1
+                    if run:
+                        out.add((a + k, b + k, run))
+                    k += run + 1
+    return out
 
 
 def aligned(item: np.ndarray, text: np.ndarray, hits: list[int]) -> list[tuple[int, int]]:

@@ -37,6 +37,9 @@ RANGE = 65_536
 #: Tokens by which counts of parts and of the whole may differ in a piece.
 SLACK = 24
 
+#: Tokens that one character can have at most: its bytes.
+CHAR_TOKENS = 4
+
 HEADING, PARAGRAPH, LINE, SENTENCE, SPACE, NONE = 5, 4, 3, 2, 1, 0
 KINDS = ("none", "space", "sentence", "line", "paragraph", "heading")
 
@@ -92,23 +95,23 @@ class Units:
 
     def _refine(self, a: int, b: int, fine: int) -> None:
         """Marks inside a long unit: at white space, and between characters where there is none."""
-        spaces = [m.start() for m in _SPACE.finditer(self.text, a, b)]
-        marks: list[tuple[int, int]] = []
-        last = a
-        for s in [*spaces, b]:
-            while s - last > 4 * fine:
-                last += 2 * fine
-                marks.append((last, NONE))
-            if s < b:
-                marks.append((s, SPACE))
-                last = s
-        ends = [o for o, _ in marks]
-        sizes = self.counts([self.text[x:y] for x, y in zip([a, *ends], ends, strict=False)])
-        for (o, k), size in zip(marks, sizes, strict=True):
-            if o > self.at[-1]:
-                self.at.append(o)
-                self.level.append(k)
-                self.tokens.append(self.tokens[-1] + size)
+        ends = [m.start() for m in _SPACE.finditer(self.text, a + 1, b)] + [b]
+        step = max(1, fine // CHAR_TOKENS)
+        x = a
+        for y, size in zip(ends, self.counts([self.text[x:y] for x, y in zip([a, *ends], ends, strict=False)]), strict=True):
+            if size > fine:
+                inner = list(range(x + step, y, step))
+                for o, n in zip(inner, self.counts([self.text[p:q] for p, q in zip([x, *inner], inner, strict=False)]), strict=True):
+                    self._mark(o, NONE, n)
+                size = self.counts([self.text[self.at[-1] : y]])[0]
+            if y < b:
+                self._mark(y, SPACE, size)
+            x = y
+
+    def _mark(self, at: int, level: int, size: int) -> None:
+        self.at.append(at)
+        self.level.append(level)
+        self.tokens.append(self.tokens[-1] + size)
 
     @property
     def total(self) -> int:
@@ -133,6 +136,9 @@ class Units:
                 hi = mid
         if near := max((m.start() for m in _SPACE.finditer(self.text, max(a, lo - 32), lo + 1)), default=None):
             lo = near
+        # Inside unbroken text, parts have more tokens than the whole.
+        while lo and (have := self.counts([self.text[lo:end]])[0]) < n:
+            lo = max(0, lo - (n - have))
         return min(lo, end)
 
 
