@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.text import strip
-from newsloom.runtime import small_side
+from newsloom.runtime import cut, small_side
 
 # Month names of English, German, French and Spanish, and their usual short forms.
 MONTHS = {
@@ -212,4 +212,5 @@ def normalised(items: DataFrame, feeds: DataFrame) -> DataFrame:
 def changed(items: DataFrame, feeds: DataFrame) -> DataFrame:
     """ordinal, published_ms of the readable rows that were not yet written as ``YYYY-MM-DDTHH:MM:SSZ``."""
     plain = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
-    return normalised(items, feeds).where(F.col("published_ms").isNotNull() & ~F.col("published_at").rlike(plain)).select("ordinal", "published_ms")
+    # Written first: a filter on the result would be pushed below the steps, and repeat each of them many times.
+    return cut(normalised(items, feeds), "instants").where(F.col("published_ms").isNotNull() & ~F.col("published_at").rlike(plain)).select("ordinal", "published_ms")
