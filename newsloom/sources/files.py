@@ -17,14 +17,14 @@ _ITEM = ARCHIVE.removesuffix(", ordinal bigint")
 
 def read_opml(spark: SparkSession, path: str) -> DataFrame:
     """title, category, xml_url, html_url, ordinal. A subscription list is one small file."""
-    text = spark.read.option("wholetext", "true").text(path).first()
+    text = spark.read.text(path, wholetext=True).first()
     return spark.createDataFrame(opml(text[0]) if text else [], "title string, category string, xml_url string, html_url string, ordinal int")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """The items of archive JSON, a list or a map by id; the last of equal ids; a missing or broken file is empty."""
     try:
-        raw = spark.read.option("wholetext", "true").text(path).select("value")
+        raw = spark.read.text(path, wholetext=True).select("value")
         raw.limit(1).collect()
     except Exception:  # noqa: BLE001  no file yet
         raw = spark.createDataFrame([], "value string")
@@ -42,7 +42,7 @@ def _as_struct(ddl: str) -> str:
 
 def read_title_cache(spark: SparkSession, path: str) -> DataFrame:
     """title, title_zh of a JSON object; blank keys and values are dropped."""
-    raw = spark.read.option("wholetext", "true").text(path)
+    raw = spark.read.text(path, wholetext=True)
     pairs = raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("title", "title_zh"))
     return pairs.where("trim(title) <> '' and trim(title_zh) <> ''")
 

@@ -79,7 +79,7 @@ def explode_cues(files: DataFrame) -> DataFrame:
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """item_id, lang, file_name, vtt of the files ``{item_id}.NA.{lang}.vtt`` under ``path``."""
     name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
-    raw = spark.read.option("wholetext", "true").text(path, pathGlobFilter="*.vtt").select(F.col("value").alias("vtt"), name.alias("file_name"))
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.vtt").select(F.col("value").alias("vtt"), name.alias("file_name"))
     return raw.select(
         F.regexp_extract("file_name", r"^([^.]+)\.", 1).alias("item_id"), F.regexp_extract("file_name", r"^[^.]+\.[^.]+\.(.+)\.vtt$", 1).alias("lang"), "file_name", "vtt"
     )
