@@ -51,7 +51,20 @@ FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ordinal) AS rn FROM
 WHERE rn = 1
 """
 
+_WS = r"[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200d}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}]"
+_LETTERS = "regexp_replace(replace(lower({t}), 'ß', 'ss'), '[^\\p{{L}}\\p{{N}}]+', '', 'g')"
+_A, _B = _LETTERS.format(t="split_part(title, '|', 1)"), _LETTERS.format(t="split_part(title, '|', 2)")
+#: Rows that can be compared, with their keys; titles have at most one bar in these tables.
+_SPELLED = f"""
+SELECT ordinal, CASE WHEN contains(title, '|') THEN least({_A} || {_B}, {_B} || {_A}) ELSE {_LETTERS.format(t='title')} END AS t,
+ lower(regexp_extract(u, '^([A-Za-z]+)://', 1)) || ' ' || lower(regexp_extract(u, '^[A-Za-z]+://([^/?#]*)', 1)) || ' ' || url_decode(regexp_replace(regexp_extract(u, '^(?:[A-Za-z]+://[^/?#]*)?([^?#]*)', 1), '/$', ''))
+ || ' ' || array_to_string(list_sort(list_transform(list_filter(string_split(regexp_extract(u, '^[^?#]*[?]([^#]*)', 1), '&'), lambda p: p <> ''), lambda p: url_decode(p))), '&') || ' ' || regexp_extract(u, '#(.*)$', 1) AS k
+FROM (SELECT ordinal, title, regexp_replace(url, '^{_WS}+|{_WS}+$', '', 'g') AS u FROM raw_item WHERE regexp_replace(title, '{_WS}+', '', 'g') <> '') WHERE u <> ''
+"""
+
 ORACLE = {
+    "p7_found": f"SELECT first_ordinal, ordinal AS copy_ordinal FROM (SELECT ordinal, min(ordinal) OVER (PARTITION BY t, k) AS first_ordinal FROM ({_SPELLED})) WHERE ordinal <> first_ordinal",
+    "p7_records": f"SELECT min(ordinal) AS first_ordinal, count(*) AS n_copies FROM ({_SPELLED}) GROUP BY t, k",
     "p2_found": f"SELECT ordinal, period_day, CASE WHEN late <= 172800000000 THEN 'corrects' ELSE 'too_late' END AS verdict FROM ({_SIGHTED}) WHERE late >= 0",
     "p2_daily": f"""
 SELECT period_day, count(*) FILTER (late < 0 OR late IS NULL) AS n_on_time, count(*) FILTER (late BETWEEN 0 AND 172800000000) AS n_corrects,

@@ -1,0 +1,244 @@
+"""Archive, view, repeats, stories and brief against sequential models written from their descriptions."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from newsloom.functions.udf import ratio
+from newsloom.operators import archive, items, stats, stories, view
+from newsloom.plans import pipeline
+from newsloom.sources.files import ARCHIVE, RAW
+
+UTC = dt.timezone.utc
+NOW = dt.datetime(2025, 11, 12, tzinfo=UTC)
+H = dt.timedelta(hours=1)
+STOP = set("a an and are as at for from in into is new of on the to with".split())
+
+
+def archived(spark, rows):
+    names = [c.split()[0] for c in ARCHIVE.split(", ")]
+    base = {"site_id": "tech", "site_name": "Tech", "source": "src", "url": None, "first_seen_at": NOW - H, "last_seen_at": NOW - H, "star": False}
+    full = []
+    for i, r in enumerate(rows):
+        d = base | {"id": f"i{i}", "ordinal": i, "title": f"Title {i}", "url": f"https://a.example/{i}"} | r
+        full.append(tuple(d.get(n) for n in names))
+    return spark.createDataFrame(full, ARCHIVE)
+
+
+# ---- archive ---------------------------------------------------------------------------------------
+
+
+def test_upsert(spark):
+    t1, t2, t3 = (NOW - k * H for k in (50, 40, 30))
+    old = archived(spark, [{"id": "a", "published_at": t1, "summary": "s", "star": True, "thumbnail": "t"}, {"id": "b", "published_at": None}, {"id": "c", "site_id": "opmlrss", "published_at": t1}, {"id": "d", "published_at": t1}])
+    new = spark.createDataFrame(
+        [(9, "tech", "T", "n1", "first", "https://x/1", t2, None, "a"), (10, "tech", "T", "n2", "last", "https://x/2", t3, None, "a"), (11, "tech", "T", "n", "b1", "https://x/3", None, None, "b"), (12, "tech", "T", "n", "b2", "https://x/3", t2, None, "b"), (13, "tech", "T", "n", "b3", "https://x/3", t3, None, "b"),
+         (14, "opmlrss", "O", "n", "c1", "https://x/4", t2, None, "c"), (15, "opmlrss", "O", "n", "c2", "https://x/4", t3, None, "c"), (16, "tech", "T", "n", "e1", "https://www.youtube.com/watch?v=abcdefg", None, None, "e"), (17, "tech", "T", "n", "e2", "https://www.youtube.com/watch?v=abcdefg", t3, None, "e")],
+        RAW + ", id string",
+    )
+    got = {r.id: r for r in archive.upsert(old, new, NOW).collect()}
+    naive = lambda t: t.replace(tzinfo=None) if t else None
+    assert len(got) == 5
+    assert (got["a"].title, got["a"].source, got["a"].summary, got["a"].star, got["a"].thumbnail) == ("last", "n2", "s", True, "t") and naive(got["a"].published_at) == naive(t1)
+    assert naive(got["b"].published_at) == naive(t2) and naive(got["c"].published_at) == naive(t3)
+    assert got["d"].title == "Title 3" and naive(got["d"].last_seen_at) == naive(NOW - H)
+    assert naive(got["e"].first_seen_at) == naive(NOW) and got["e"].star is False and got["e"].thumbnail.endswith("/abcdefg/mqdefault.jpg") and naive(got["e"].published_at) == naive(t3)
+    assert archive.upsert(old.limit(0), new.limit(0), NOW).count() == 0 and archive.upsert(old, new.limit(0), NOW).count() == 4
+
+
+def test_retention_edge_and_ingest(spark):
+    day = dt.timedelta(days=1)
+    a = archived(spark, [{"last_seen_at": NOW - 21 * day}, {"last_seen_at": NOW - 21 * day - H}, {"last_seen_at": None, "published_at": None, "first_seen_at": None}, {"last_seen_at": None, "published_at": NOW - 30 * day}])
+    assert sorted(r.id for r in archive.retained(a, NOW).collect()) == ["i0", "i2"]
+    b = archived(spark, [{"title": " "}, {"title": None}, {"url": "ftp://x"}, {"url": None}, {"url": " https://x"}])
+    assert [r.id for r in archive.ingestible(b).collect()] == ["i4"]
+    marked = archive.marked_without_captions(archived(spark, [{}, {}]), spark.createDataFrame([("i1",), ("i1",)], "id string"))
+    assert sorted((r.id, r.summary) for r in marked.collect()) == [("i0", None), ("i1", " ")] and marked.columns == archived(spark, [{}]).columns
+
+
+def test_window(spark):
+    a = archived(spark, [{"published_at": NOW - 24 * H}, {"published_at": NOW - 25 * H}, {"published_at": NOW + 99 * H}, {"site_id": "opmlrss", "published_at": None}, {"published_at": None}])
+    assert sorted(r.id for r in view.window(a, NOW).collect()) == ["i0", "i2", "i4"]
+
+
+def test_bilingual(spark):
+    a = archived(spark, [{"title": "Hello world again", "url": "https://a/1"}, {"title": "你好世界", "url": "https://a/1?utm_x=1"}, {"title": "你好又一次", "url": "https://A/1/"}, {"title": "Cached title here", "url": "https://a/2"}, {"title": "Other words here", "url": "https://a/3"}])
+    cache = spark.createDataFrame([("Cached title here", "缓存"), (" ", "x"), ("Other words here", "no han")], "title string, title_zh string")
+    got = {r.id: r for r in view.bilingual(a, cache).collect()}
+    assert got["i0"].title_bilingual == "你好又一次 / Hello world again" and got["i3"].title_bilingual == "缓存 / Cached title here"
+    assert got["i4"].title_bilingual == "Other words here" and got["i4"].title_zh is None and got["i1"].title_zh == "你好世界"
+
+
+# ---- repeats ---------------------------------------------------------------------------------------
+
+
+def words(t):
+    import re
+
+    return {w for w in re.findall(r"[a-z0-9]+|[一-鿿]{2,}", t.lower()) if len(w) >= 2 and w not in STOP}
+
+
+def mergeable(t):
+    return len(words(t)) >= 4 and len(t) >= 18
+
+
+def likeness(a, b):
+    x, y = words(a), words(b)
+    return 0.0 if not x or not y else ratio(a, b, len(x & y) / len(x | y))
+
+
+NOUNS = "river council bridge harvest tram museum ledger orchard signal clinic".split()
+
+
+def made(n, seed, sites=("tech", "blog")):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        if rows and rng.random() < 0.45:
+            t = rng.choice(rows)["title"].split()
+            k = rng.randrange(len(t))
+            t[k] = rng.choice([t[k], t[k] + "s", rng.choice(NOUNS), t[k].upper()])
+            title = " ".join(t)
+        else:
+            title = f"{rng.choice(NOUNS)} {rng.choice(NOUNS)} near {rng.choice(NOUNS)} {rng.choice(NOUNS)} {rng.choice(['opens', 'closes', 'waits'])} {rng.randrange(9)}"
+        url = rng.choice(rows)["url"] if rows and rng.random() < 0.15 else f"https://a.example/{i}"
+        rows.append({"title": title, "url": url, "site_id": rng.choice(sites), "published_at": NOW - dt.timedelta(minutes=rng.randrange(24 * 60)), "source": rng.choice(["x", "y", "z"])})
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_near_repeats(spark, seed):
+    rows = made(150, seed)
+    got = {r.id for r in items.near_repeats(view.with_tier(view.with_event_time(archived(spark, rows)))).collect()}
+    gone = set()
+    for site in {r["site_id"] for r in rows}:
+        kept = []
+        for i, r in sorted(((i, r) for i, r in enumerate(rows) if r["site_id"] == site), key=lambda x: (x[1]["published_at"], x[0])):
+            t = r["title"].lower()
+            hit = mergeable(t) and any(r["published_at"] - o["published_at"] <= 6 * H and len(words(t) & words(o["title"])) >= 0.5 * len(words(t) | words(o["title"])) and likeness(t, o["title"].lower()) >= 0.9 for o in kept[-60:])
+            if hit:
+                gone.add(f"i{i}")
+            else:
+                kept.append(r)
+    assert got == gone and gone
+
+
+def test_distinct_items(spark):
+    rows = [{"id": i, "title": t, "url": u, "published_at": p} for i, t, u, p in [("a", "Same", "https://a/1", NOW - H), ("b", " same ", "https://A/1/?utm_s=1", NOW - 2 * H), ("c", "same", "https://a/1", None), ("d", "same", "https://a/2", NOW), ("e", "Same", "https://a/1", NOW - H)]]
+    e = view.with_event_time(archived(spark, [r | {"first_seen_at": None} for r in rows]))
+    assert sorted(r.id for r in items.distinct_items(e).collect()) == ["d", "e"]
+    assert items.distinct_items(e, seed=1).count() == 2 and items.distinct_items(e.limit(0)).count() == 0
+
+
+def test_daily_items(spark):
+    rows = [{"id": i, "site_id": s, "title": t, "url": u} for i, s, t, u in [("a", "aihubtoday", "more", "u1"), ("b", "aihubtoday", "A title", "u1"), ("c", "aihubtoday", "x", " "), ("d", "tech", "more", "u1"), ("e", "aihubtoday", "Digest (AI资讯)", "u2")]]
+    assert sorted(r.id for r in items.daily_items(view.with_event_time(archived(spark, rows))).collect()) == ["b", "d", "e"]
+
+
+# ---- stories ----------------------------------------------------------------------------------------
+
+
+def sequential(rows):
+    """Story (its founder) and reason of each item, by the rule in order of time."""
+    founders, pages, out = [], {}, {}
+    for i, r in sorted(enumerate(rows), key=lambda x: (x[1]["published_at"], x[0])):
+        t = r["title"].lower()
+        hit, why = pages.get(r["url"]), "canonical_url"
+        if hit is None and mergeable(t):
+            hit = next((f for f in founders if abs(rows[f]["published_at"] - r["published_at"]) <= 6 * H and likeness(t, rows[f]["title"].lower()) >= 0.86), None)
+            why = "title_similarity"
+        if hit is None:
+            founders.append(i)
+            hit, why = i, "founder"
+        pages.setdefault(r["url"], hit)
+        out[f"i{i}"] = (f"i{hit}", why)
+    return out
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_merged(spark, seed):
+    rows = made(160, seed)
+    got = stories.merged(view.with_event_time(archived(spark, rows))).collect()
+    founder = {r.story_id: r.id for r in got if r.reason == "founder"}
+    assert {r.id: (founder[r.story_id], r.reason) for r in got} == sequential(rows)
+    assert len({r.reason for r in got}) == 3
+
+
+def test_stories_of_nothing(spark):
+    e = view.with_event_time(archived(spark, [{}])).limit(0)
+    assert stories.merged(e).count() == 0
+
+
+def test_records(spark):
+    rows = [{"id": "a", "site_id": "tech", "title": "T1", "url": "u", "published_at": NOW, "source": "z"}, {"id": "b", "site_id": "official_ai", "title": "T2", "url": "u", "published_at": NOW - 6 * H, "source": "y"}, {"id": "c", "site_id": "blog", "title": "T0", "url": "v", "published_at": NOW - 30 * H, "source": None}]
+    e = view.with_event_time(archived(spark, rows))
+    assigned = spark.createDataFrame([("a", 0, "s1"), ("b", 1, "s1"), ("c", 2, "s2")], "id string, ordinal long, story_id string")
+    got = {r.story_id: r for r in stories.records(e, assigned, NOW).collect()}
+    s = got["s1"]
+    assert s.primary_item.id == "b" and s.item_count == 2 and s.source_names == ["y", "z"] and [x.id for x in s["items"]] == ["b", "a"]
+    assert s.score == pytest.approx(0.5 + 0.3 * 0.75 + 0.2 * 0.25) and s.category == "official" and s.reasons == ["official_source", "multi_source", "high_importance"]
+    assert got["s2"].score == 0.25 and got["s2"].category == "watch" and got["s2"].reasons == ["recent_ai_signal"] and got["s2"].source_names == ["Tech"]
+
+
+def brief_model(table, limit, penalty):
+    left = sorted(table, key=lambda s: (-s["score"], s["title"]))
+    picked, per = [], {}
+    while left and len(picked) < limit:
+        best = max(left, key=lambda s: s["score"] - penalty * per.get(s["source"], 0))
+        left.remove(best)
+        t = best["title"].lower()
+        if mergeable(t) and any(len(words(t) & words(o["title"])) >= 0.4 * len(words(t) | words(o["title"])) and likeness(t, o["title"].lower()) >= 0.86 for o in picked):
+            continue
+        per[best["source"]] = per.get(best["source"], 0) + 1
+        picked.append(best)
+    return [p["story_id"] for p in picked]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_brief(spark, seed):
+    rng = random.Random(seed)
+    table = [{"story_id": f"s{i}", "title": r["title"], "source": r["source"], "source_name": "n", "score": round(rng.uniform(0.5, 1), 2), "source_count": 2} for i, r in enumerate(made(80, seed))]
+    df = spark.createDataFrame(table + [{"story_id": "low", "title": "t", "source": "x", "source_name": "n", "score": 0.1, "source_count": 1}], "story_id string, title string, source string, source_name string, score double, source_count int")
+    got = [r.story_id for r in stories.brief(df).orderBy("rank").collect()]
+    assert got == brief_model(table, 20, 0.03) and len(got) == 20
+    assert stories.brief(df.limit(0)).count() == 0
+
+
+# ---- statistics and the whole run ----------------------------------------------------------------------
+
+
+def test_stats(spark):
+    raw = archived(spark, [{"site_id": "a"}, {"site_id": "a"}, {"site_id": "b"}])
+    sites = spark.createDataFrame([("a", "A"), ("c", "C"), ("c", "C")], "site_id string, site_name string")
+    got = {r.site_id: (r.site_name, r.raw_count, r["count"]) for r in stats.site_stats(raw, raw.limit(1), sites).collect()}
+    assert got["c"] == ("C", 0, 0) and got["b"][1:] == (1, 0) and got["a"][1] == 2
+    st = spark.createDataFrame([("a", True, True, None, 0, 5), ("b", False, None, True, None, None), ("c", True, None, None, 0, 1)], "site_id string, ok boolean, skipped boolean, replaced boolean, n_items int, duration_ms long")
+    assert tuple(stats.rollup(st).first()) == (2, 1, 1, 1, 0, 6) and tuple(stats.rollup(st.limit(0)).first()) == (0, 0, 0, 0, 0, 0)
+    f = stats.failed_and_empty(st).first()
+    assert f.failed == ["b"] and f.empty == ["a", "c"]
+    assert stats.source_count(raw).first().n_sources == 2
+
+
+def test_whole_run_and_sinks(spark, tmp_path):
+    import json
+
+    from newsloom.sinks import payloads
+
+    rows = made(60, 9)
+    raw = spark.createDataFrame([(i, r["site_id"], "Site", r["source"], r["title"] + (" mail me@x.org" if i == 0 else ""), r["url"], r["published_at"], None) for i, r in enumerate(rows)], RAW)
+    out = pipeline.run(archived(spark, []), raw, NOW, cache=spark.createDataFrame([], "title string, title_zh string"))
+    n = out.items.count()
+    assert 0 < n <= out.shown.count() <= out.archive.count() and out.stories.agg(F.sum("item_count")).first()[0] == n
+    assert out.events.count() + out.stories.count() == n and 0 < out.brief.count() <= 20
+    status = spark.createDataFrame([("a", True)], "site_id string, ok boolean")
+    for _ in range(2):  # the second time the old folders are replaced
+        names = payloads.write_all(str(tmp_path), out.items, out.shown, out.stories, out.events, out.archive, status, spark.createDataFrame([], "title string, title_zh string"), spark.createDataFrame([("2025-11-05", 1)], "date string, n int"), NOW)
+    assert len(names) == 10 and spark.read.json(f"{tmp_path}/archive").count() == out.archive.count()
+    lines = "".join(p.read_text() for p in (tmp_path / "latest-items-raw").glob("*.json"))
+    assert "me@x.org" not in lines and "[redacted-email]" in lines
+    head = json.loads(next((tmp_path / "latest-summary").glob("*.json")).read_text())
+    assert head["total_items"] == n and head["generated_at"] == "2025-11-12T00:00:00Z" and sum(s["count"] for s in head["site_stats"]) == n
+    again = pipeline.run(out.archive, raw.limit(0), NOW)
+    assert again.items.count() == n
