@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ from newsloom.runtime import cut, remove, scratch
 EDITS = 2
 #: Words of a suffix that its key holds.
 KEY_WORDS = 8
+#: One text in so many is sampled for hot substrings; how often one must occur there; how many there can be at most.
+SAMPLED, HOT, HOT_KEYS = 16, 64, 10_000
 #: Records that one shard is laid out for.
 SHARD_RECORDS = 20_000
 
@@ -122,56 +125,118 @@ def _keys(codes: np.ndarray, at: np.ndarray, end: np.ndarray, q: np.ndarray | in
     return k.view(f"S{2 * KEY_WORDS}").ravel()
 
 
-def _route(keys: np.ndarray, role: np.ndarray, shards: int) -> np.ndarray:
-    two = np.ascontiguousarray(keys).view("<u8").reshape(-1, 2)
-    h = two[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ (two[:, 1] + role.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
-    return (h % np.uint64(shards)).astype(np.int32)
+def _mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
 
 
-_ENTRY = pa.schema([("shard", pa.int32()), ("stored", pa.bool_()), ("role", pa.int8()), ("q", pa.int8()), ("key", pa.binary()), ("ordinal", pa.int64()), ("words", pa.binary())])
-_ENTRY_DDL = "shard int, stored boolean, role byte, q byte, key binary, ordinal long, words binary"
+def _hash(keys: np.ndarray, role: np.ndarray) -> np.ndarray:
+    """Of a substring and the place at which it counts."""
+    two = np.ascontiguousarray(keys).view("<u8").reshape(-1, 2)
+    return _mix(two[:, 0] * np.uint64(0x9E3779B97F4A7C15) ^ (two[:, 1] + role.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+class _Lookups(NamedTuple):
+    """Substrings of texts: text, place (0 first, 1 middle, 2 last words), words, whether it is one
+    that the text stores, its words as a key, where it begins, and the hash of key and place."""
+
+    text: np.ndarray
+    role: np.ndarray
+    q: np.ndarray
+    stored: np.ndarray
+    key: np.ndarray
+    at: np.ndarray
+    hash: np.ndarray
+
+    def take(self, which: np.ndarray) -> _Lookups:
+        return _Lookups(*[c[which] for c in self])
+
+
+def _lookups(codes: np.ndarray, s: np.ndarray, e: np.ndarray) -> _Lookups:
+    n = e - s
+    own = stretch(n)
+    parts = []
+    for q in np.unique(np.concatenate([stretch(n + d) for d in range(-EDITS, EDITS + 1)])) if len(n) else []:
+        if q == 0:
+            continue
+        near = np.any([stretch(n + d) == q for d in range(-EDITS, EDITS + 1)], axis=0)
+        for role, moved in ((0, 0), (1, 0), (1, -1), (1, 1), (2, 0)):
+            at = s + moved + q if role == 1 else (e - q if role == 2 else s)
+            i = np.flatnonzero(near & (at >= s) & (at + q <= e))
+            if len(i):
+                parts.append((i, np.full(len(i), role, np.int8), np.full(len(i), q, np.int64), (own[i] == q) & (moved == 0), _keys(codes, at[i], e[i], int(q)), at[i]))
+    if not parts:
+        z = np.zeros(0, np.int64)
+        return _Lookups(z, z.astype(np.int8), z, z.astype(bool), np.zeros(0, f"S{2 * KEY_WORDS}"), z, z.astype(np.uint64))
+    i, role, q, stored, key, at = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return _Lookups(i, role, q, stored, key, at, _hash(key, role))
+
+
+_ENTRY = pa.schema([("shard", pa.int32()), ("stored", pa.bool_()), ("role", pa.int8()), ("key", pa.binary()), ("ordinal", pa.int64()), ("words", pa.binary())])
+_ENTRY_DDL = "shard int, stored boolean, role byte, key binary, ordinal long, words binary"
+
+
+def _distinct(b: pa.RecordBatch) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """(ordinals, words as bytes, all codes, starts, ends) of the texts of a batch; of equal texts the first stands for all."""
+    order = np.argsort(b["ordinal"].to_numpy(), kind="stable")
+    codes, starts = word_codes(b["summary"].take(pa.array(order)))
+    n = np.diff(starts)
+    raw = codes.tobytes()
+    words = [raw[2 * s : 2 * e] for s, e in zip(starts[:-1], starts[1:], strict=True)]
+    first = np.zeros(len(n), bool)
+    first[list({w: i for i, w in reversed(list(enumerate(words)))}.values())] = True
+    rec = np.flatnonzero(first & (n >= 3))
+    return b["ordinal"].to_numpy()[order][rec], [words[r] for r in rec], codes, starts[:-1][rec], starts[1:][rec]
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of the substrings of a sample, with how often each occurs."""
+    for b in batches:
+        _, _, codes, s, e = _distinct(b)
+        h, n = np.unique(_lookups(codes, s, e).hash, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+
+def _entries(shards: int, hot: np.ndarray, late: np.ndarray):
+    """The suffixes that a batch stores, and the substrings that it looks up, by shard.
+
+    A substring that very many texts share is no place to meet: those texts meet by it and by a
+    second substring, of what they have besides, which must share one again. ``late`` are those hot
+    substrings that were not hot from the start: they are also looked up as before, in older parts.
+    """
 
+    def rows(found: _Lookups, second: np.ndarray, route: np.ndarray, role: np.ndarray, stored: np.ndarray, ordinal: np.ndarray, words: list[bytes]) -> pa.RecordBatch:
+        key = np.zeros((len(route), 4 * KEY_WORDS), np.uint8)
+        key[:, : 2 * KEY_WORDS] = found.key.view(np.uint8).reshape(-1, 2 * KEY_WORDS)
+        key[:, 2 * KEY_WORDS :] = second.view(np.uint8).reshape(-1, 2 * KEY_WORDS)
+        fixed = pa.Array.from_buffers(pa.binary(4 * KEY_WORDS), len(key), [None, pa.py_buffer(key.tobytes())]).cast(pa.binary())
+        shard = pa.array((route % np.uint64(shards)).astype(np.int32))
+        return pa.RecordBatch.from_arrays([shard, pa.array(stored), pa.array(role.astype(np.int8)), fixed, pa.array(ordinal[found.text]), pa.array(words, pa.binary()).take(pa.array(found.text))], schema=_ENTRY)
 
-def _entries(shards: int):
-    """The suffixes that a batch stores, and the substrings that it looks up, by shard."""
+    def none(n: int) -> np.ndarray:
+        return np.zeros(n, f"S{2 * KEY_WORDS}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            order = np.argsort(b["ordinal"].to_numpy(), kind="stable")
-            ordinal = b["ordinal"].to_numpy()[order]
-            codes, starts = word_codes(b["summary"].take(pa.array(order)))
-            n = np.diff(starts)
-            raw = codes.tobytes()
-            words = [raw[2 * s : 2 * e] for s, e in zip(starts[:-1], starts[1:], strict=True)]
-            # Equal summaries: the first stands for all; the others are linked by their key.
-            first = np.zeros(len(n), bool)
-            first[list({w: i for i, w in reversed(list(enumerate(words)))}.values())] = True
-            rec = np.flatnonzero(first & (n >= 3))
-            s, e, n = starts[:-1][rec], starts[1:][rec], n[rec]
-            own = stretch(n)
-            parts = []
-            for q in np.unique(np.concatenate([stretch(n + d) for d in range(-EDITS, EDITS + 1)])) if len(n) else []:
-                if q == 0:
-                    continue
-                near = np.any([stretch(n + d) == q for d in range(-EDITS, EDITS + 1)], axis=0)
-                for role, moved in ((0, 0), (1, 0), (1, -1), (1, 1), (2, 0)):
-                    at = s + moved + q if role == 1 else (e - q if role == 2 else s)
-                    ok = near & (at >= s) & (at + q <= e)
-                    i = np.flatnonzero(ok)
-                    if len(i):
-                        parts.append((i, np.full(len(i), role, np.int8), np.full(len(i), q, np.int8), (own[i] == q) & (moved == 0), _keys(codes, at[i], e[i], int(q))))
-            if not parts:
+            ordinal, words, codes, s, e = _distinct(b)
+            found = _lookups(codes, s, e)
+            is_hot = np.isin(found.hash, hot)
+            cold = found.take(~is_hot | np.isin(found.hash, late))
+            if len(cold.text):
+                yield rows(cold, none(len(cold.text)), cold.hash, cold.role, cold.stored & ~np.isin(cold.hash, hot), ordinal, words)
+            if not is_hot.any():
                 continue
-            i, role, q, stored, key = (np.concatenate(x) for x in zip(*parts, strict=True))
-            width = 2 * KEY_WORDS
-            fixed = pa.Array.from_buffers(pa.binary(width), len(key), [None, pa.py_buffer(key.tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_route(key, role, shards)), pa.array(stored), pa.array(role), pa.array(q), fixed, pa.array(ordinal[rec][i]), pa.array([words[r] for r in rec], pa.binary()).take(pa.array(i))],
-                schema=_ENTRY,
-            )
+            first = found.take(is_hot)
+            rest = [np.concatenate([codes[s[t] : a], codes[a + q : e[t]]]) for t, a, q in zip(first.text, first.at, first.q, strict=True)]
+            size = np.array([len(r) for r in rest])
+            ends = np.cumsum(size)
+            second = _lookups(np.concatenate(rest), ends - size, ends)
+            one = first.take(second.text)
+            yield rows(one, second.key, _mix(one.hash + second.hash), 3 + 3 * one.role + second.role, one.stored & second.stored, ordinal, words)
+            # Where hardly anything is left besides, there is no second substring.
+            few = first.take(np.flatnonzero(size <= 2 + EDITS))
+            if len(few.text):
+                yield rows(few, none(len(few.text)), few.hash, 12 + few.role, few.stored, ordinal, words)
 
     return run
 
@@ -203,6 +268,27 @@ _OUT = pa.schema([("shard", pa.int32()), ("u", pa.int64()), ("v", pa.int64()), (
 _OUT_DDL = "shard int, u long, v long, key binary, role binary, ordinal binary, words binary, lengths binary"
 
 
+class _Links:
+    """Links found in one shard, and what they connect."""
+
+    def __init__(self) -> None:
+        self.found: list[tuple[int, int]] = []
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = self.up.get(y, y)
+            x = y
+        return x
+
+    def apart(self, a: int, b: int) -> bool:
+        return a != b and self.root(a) != self.root(b)
+
+    def join(self, a: int, b: int) -> None:
+        self.up[self.root(max(a, b))] = self.root(min(a, b))
+        self.found.append((max(a, b), min(a, b)))
+
+
 class _Suffixes:
     """One shard of a suffix array: sorted keys, with role, ordinal and words of each."""
 
@@ -216,7 +302,7 @@ class _Suffixes:
         lengths = np.frombuffer(row["lengths"], np.int32)
         ends = np.cumsum(lengths)
         words = [row["words"][e - n : e] for n, e in zip(lengths, ends, strict=True)]
-        return _Suffixes(np.frombuffer(row["key"], f"S{2 * KEY_WORDS}"), np.frombuffer(row["role"], np.int8), np.frombuffer(row["ordinal"], np.int64), words)
+        return _Suffixes(np.frombuffer(row["key"], f"S{4 * KEY_WORDS}"), np.frombuffer(row["role"], np.int8), np.frombuffer(row["ordinal"], np.int64), words)
 
     def blobs(self) -> dict:
         return {
@@ -224,41 +310,32 @@ class _Suffixes:
             "words": b"".join(self.words), "lengths": np.array([len(w) for w in self.words], np.int32).tobytes(),
         }
 
-    def search(self, key: np.ndarray, q: np.ndarray, role: np.ndarray, ordinal: np.ndarray, words: list[bytes], found: dict[tuple[int, int], None]) -> None:
-        """Pairs of a query and a stored record that agree, into ``found``."""
+    def search(self, key: np.ndarray, role: np.ndarray, ordinal: np.ndarray, words: list[bytes], links: _Links) -> None:
+        """Links of the queries to stored records that agree; records that are linked already are not compared again."""
         if not len(self.key) or not len(key):
             return
-        low = np.searchsorted(self.key, key, "left")
-        top = np.frombuffer(key.tobytes(), np.uint8).reshape(len(key), -1).copy()
-        top[np.arange(top.shape[1])[None, :] >= 2 * q[:, None]] = 0xFF
-        high = np.searchsorted(self.key, top.view(key.dtype).ravel(), "right")
-        tried: set[tuple[int, int]] = set()
+        low, high = np.searchsorted(self.key, key, "left"), np.searchsorted(self.key, key, "right")
         for i in np.flatnonzero(high > low):
             mine, text, kind = int(ordinal[i]), words[i], role[i]
             for j in range(low[i], high[i]):
                 other = int(self.ordinal[j])
-                if other == mine or self.role[j] != kind or abs(len(self.words[j]) - len(text)) > 2 * EDITS:
-                    continue
-                pair = (max(mine, other), min(mine, other))
-                if pair not in tried:
-                    tried.add(pair)
-                    if covers(text, self.words[j]):
-                        found[pair] = None
+                if self.role[j] == kind and abs(len(self.words[j]) - len(text)) <= 2 * EDITS and links.apart(mine, other) and covers(text, self.words[j]):
+                    links.join(mine, other)
 
 
 def _take_in(new: pa.Table, old: pa.Table) -> pa.Table:
     """Links of a shard's new records with each other and with the stored ones; and the new part of the array."""
     rows = []
     if new.num_rows:
-        key = np.array([k.ljust(2 * KEY_WORDS, b"\0") for k in new["key"].to_pylist()], f"S{2 * KEY_WORDS}")
-        role, q, ordinal = (new[c].to_numpy() for c in ("role", "q", "ordinal"))
+        key = np.frombuffer(b"".join(new["key"].to_pylist()), f"S{4 * KEY_WORDS}")
+        role, ordinal = (new[c].to_numpy() for c in ("role", "ordinal"))
         words = new["words"].to_pylist()
         stored = np.flatnonzero(new["stored"].to_numpy())
         mine = _Suffixes(key[stored], role[stored], ordinal[stored], [words[i] for i in stored])
-        found: dict[tuple[int, int], None] = {}
+        links = _Links()
         for array in (mine, *map(_Suffixes.of, old.to_pylist())):
-            array.search(key, q.astype(np.int64), role, ordinal, words, found)
-        rows = [{"u": u, "v": v} for u, v in found]
+            array.search(key, role, ordinal, words, links)
+        rows = [{"u": u, "v": v} for u, v in links.found]
         if len(stored):
             rows.append(mine.blobs())
         shard = new["shard"][0].as_py()
@@ -282,6 +359,8 @@ class History:
         self.parts: list[tuple[int, str]] = []
         self.keys: list[str] = []
         self.links: list[str] = []
+        #: Hot substrings, with the batch from which on they are.
+        self.hot: dict[int, int] = {}
 
     def _read(self, paths: list[str], ddl: str) -> DataFrame:
         return self.spark.read.schema(ddl).parquet(*paths) if paths else self.spark.createDataFrame([], ddl)
@@ -303,6 +382,18 @@ class History:
                 remove(self.spark, old)
             i = 0
 
+    def _heat(self, texts: DataFrame, batch: int) -> tuple[np.ndarray, np.ndarray]:
+        """The substrings that are hot so far, and those of them that were not from the first batch on.
+
+        They are counted in a sample: it decides how texts meet, not which are compared. The
+        hottest count, so that their number is bounded; what is left is shared by fewer texts.
+        """
+        sample = texts.where(F.pmod(F.xxhash64("ordinal"), F.lit(SAMPLED)) == 0)
+        counts = sample.mapInArrow(_sampled, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= HOT)
+        for r in counts.orderBy(F.col("n").desc()).limit(HOT_KEYS).collect():
+            self.hot.setdefault(r.h, batch)
+        return np.array(list(self.hot), np.int64).view(np.uint64), np.array([h for h, since in self.hot.items() if since], np.int64).view(np.uint64)
+
     def accept(self, batch: DataFrame) -> None:
         """Takes in a batch (ordinal, id, url, summary): finds its links, adds its keys and its part."""
         n = len(self.links)
@@ -324,7 +415,9 @@ class History:
         equal = keyed.join(self._read([to], "h1 long, h2 long, first long"), ["h1", "h2"]).where("ordinal <> first").select(F.col("ordinal").alias("u"), F.col("first").alias("v")).distinct()
         # Near repeats.
         to = f"{self.path}/part-0-{n}"
-        entries = rows.where(~is_blank(F.col("summary"))).select("ordinal", "summary").mapInArrow(_entries(self.shards), _ENTRY_DDL)
+        texts = rows.where(~is_blank(F.col("summary"))).select("ordinal", "summary")
+        hot, late = self._heat(texts, n)
+        entries = texts.mapInArrow(_entries(self.shards, hot, late), _ENTRY_DDL)
         parts = self._read([p for _, p in self.parts], _OUT_DDL).where("key is not null")
         entries.groupBy("shard").cogroup(parts.groupBy("shard")).applyInArrow(_take_in, _OUT_DDL).write.parquet(to)
         self.parts.append((0, to))

@@ -120,3 +120,31 @@ def test_three_words_apart_are_two_items(spark):
     rows.append((9, None, None, " ".join("q" if i in (2, 9, 21) else w for i, w in enumerate(base)), None))
     got = {d for _, d in pairs(H.replay(frame(spark, rows)).repeats())}
     assert {1, 2, 3, 4} <= got
+
+
+@pytest.mark.parametrize("batches", [1, 3])
+def test_hot_substrings_lose_no_link(spark, monkeypatch, batches):
+    """Very many texts that share stretches, near copies of one text among them."""
+    monkeypatch.setattr(H, "SAMPLED", 2)
+    monkeypatch.setattr(H, "HOT", 4)
+    rng = random.Random(8)
+    base = [f"h{i}" for i in range(26)]
+    rows = []
+    for o in range(320):
+        kind = rng.random()
+        if kind < 0.4:
+            w = list(base)
+        elif kind < 0.7:
+            w = base[:9] + [rng.choice(WORDS) for _ in range(rng.choice([4, 8, 15]))]
+        elif kind < 0.85:
+            w = [rng.choice(WORDS) for _ in range(12)] + base[-9:]
+        else:
+            w = base[:6] + [rng.choice(WORDS) for _ in range(rng.randrange(4))]
+        for _ in range(rng.randrange(3)):
+            k = rng.randrange(len(w))
+            w[k : k + rng.randrange(2)] = [rng.choice(WORDS)] * rng.randrange(2)
+        rows.append((o, None, None, " ".join(w), dt.datetime(2025, 10, 1, tzinfo=UTC) + dt.timedelta(hours=o // 20)))
+    h = H.replay(frame(spark, rows), batches)
+    assert h.hot and pairs(h.repeats()) == brute(rows)
+    if batches > 1:
+        assert any(h.hot.values())  # some became hot later
