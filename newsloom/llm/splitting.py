@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm.tokens import DEFAULT, tokenizer
@@ -203,6 +203,10 @@ def _whole(limit: int, overlap: int, path: str):
 
 
 # ---- giant texts, by ranges ------------------------------------------------------------------------
+#
+# A range is a row: row_key, doc_id (or file), range_no, at (offset of its chunk), chunk (the range
+# with halos), lead (characters of the halo before it), span (characters of the range), total (size
+# of the whole). Offsets are characters of a column's text, or bytes of a file.
 
 
 def _halo(size: int) -> int:
@@ -217,60 +221,105 @@ def _edge(text: str, nominal: int, reach: int) -> int:
     return m.start() if m else nominal
 
 
-def _own(chunk: str, lead: int, size: int) -> tuple[int, int]:
-    """Bounds of a range's own text in a chunk whose first ``lead`` characters are halo."""
-    reach = _halo(size) // 2
-    return (_edge(chunk, lead, reach) if lead else 0), _edge(chunk, lead + size, reach)
+def _own(chunk: str, lead: int, span: int, size: int) -> tuple[int, int]:
+    """Bounds of a range's own text in its chunk. A halo of bytes has at least a quarter as many characters."""
+    reach = _halo(size) // 8
+    return (_edge(chunk, lead, reach) if lead else 0), _edge(chunk, lead + span, reach)
 
 
 def ranges(documents: DataFrame, size: int = RANGE) -> DataFrame:
-    """row_key, doc_id, range_no, lead, at (offset of the chunk), chunk: ranges of ``size`` characters with halos."""
-    n = F.length("text")
+    """Ranges of ``size`` characters of the texts of (row_key, doc_id, text)."""
+    n, halo, start = F.length("text"), _halo(size), F.col("range_no") * size
     each = documents.withColumn("range_no", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int"))))
-    halo = _halo(size)
-    at = F.greatest(F.lit(0), F.col("range_no") * size - halo)
-    return each.select("row_key", "doc_id", "range_no", (F.col("range_no") * size - at).alias("lead"), at.alias("at"), F.substring("text", at + 1, F.col("range_no") * size - at + size + halo).alias("chunk"))
+    at = F.greatest(F.lit(0), start - halo)
+    return each.select(
+        "row_key", "doc_id", "range_no", at.cast("long").alias("at"), F.substring("text", at + 1, start - at + size + halo).alias("chunk"),
+        (start - at).alias("lead"), F.lit(size).alias("span"), n.cast("long").alias("total"),
+    )
 
 
 def _counted(size: int, path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             n = []
-            for chunk, lead in zip(b["chunk"], b["lead"], strict=True):
-                a, z = _own(chunk, int(lead), size)
-                n.append(Units(chunk[a:z], path, 1 << 30).total)
+            for r in b.itertuples(index=False):
+                a, z = _own(r.chunk, int(r.lead), int(r.span), size)
+                n.append(Units(r.chunk[a:z], path, 1 << 30).total)
             yield pd.DataFrame({"row_key": b["row_key"], "range_no": b["range_no"], "n": n})
 
     return run
 
 
-def _candidates(size: int, limit: int, overlap: int, path: str):
+def _level_at(chunk: str, o: int) -> int:
+    """What kind of boundary stands at an offset of a chunk."""
+    low = max(0, o - 256)
+    here = [k for at, k in boundaries(chunk[low : o + 256]) if at == o - low]
+    return here[0] if here else SPACE if chunk[o : o + 1].isspace() else NONE
+
+
+def _candidates(size: int, limit: int, overlap: int, path: str, in_bytes: bool):
     step, width = grid(limit, overlap)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for r in b.itertuples(index=False):
-                a, z = _own(r.chunk, int(r.lead), size)
+
+                def offset(o: int, r=r) -> int:
+                    return int(r.at) + (len(r.chunk[:o].encode()) if in_bytes else o)
+
+                if r.all <= limit:
+                    continue
+                a, z = _own(r.chunk, int(r.lead), int(r.span), size)
                 u = Units(r.chunk[a:z], path, width // 2)
+                u.level[-1] = _level_at(r.chunk, z)
                 # Counts go on from the own text's first token; the overlap may begin in the halo before it.
-                for k, level, o, back in best_cuts(u, int(r.base), int(r.total), step, width, overlap):
+                for k, level, o, back in best_cuts(u, int(r.base), int(r.all), step, width, overlap):
                     if back == 0 and a:
                         before = Units(r.chunk[: a + o], path, width // 2)
                         back = before.back(len(before.at) - 1, overlap) - a
-                    rows.append((r.row_key, r.doc_id, k, level, int(r.at) + a + o, int(r.at) + a + back))
-            yield pd.DataFrame(rows, columns=["row_key", "doc_id", "k", "level", "cut_char", "back_char"])
+                    rows.append((r.row_key, r.doc_id, k, level, offset(a + o), offset(a + back)))
+            yield pd.DataFrame(rows, columns=["row_key", "doc_id", "k", "level", "cut_at", "back_at"])
 
     return run
 
 
+def _spans(spread: DataFrame, limit: int, overlap: int, path: str, size: int, in_bytes: bool) -> DataFrame:
+    """row_key, doc_id, piece_no, first, end, mark (where the overlap ends), kind: pieces by offset."""
+    kind = spread.schema["doc_id"].dataType.simpleString()
+    counted = cut(spread.select("row_key", "range_no", "lead", "span", "chunk").mapInPandas(_counted(size, path), "row_key long, range_no int, n long"), "counted")
+    by_range = Window.partitionBy("row_key").orderBy("range_no")
+    sums = counted.select(
+        "row_key",
+        "range_no",
+        F.coalesce(F.sum("n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"),
+        F.sum("n").over(Window.partitionBy("row_key")).alias("all"),
+    )
+    found = spread.join(sums, ["row_key", "range_no"]).mapInPandas(_candidates(size, limit, overlap, path, in_bytes), f"row_key long, doc_id {kind}, k int, level int, cut_at long, back_at long")
+    # Neighbouring ranges may both have a mark for a point of the grid: the better one counts, of equals the later.
+    cuts = found.groupBy("row_key", "doc_id", "k").agg(F.max(F.struct("level", "cut_at", "back_at")).alias("c")).select("row_key", "doc_id", "k", "c.*")
+    zero = F.lit(0).cast("long")
+    ends = spread.where("range_no = 0").select("row_key", "doc_id", F.lit((1 << 31) - 1).alias("k"), F.lit(-1).alias("level"), F.col("total").alias("cut_at"), zero.alias("back_at"))
+    by_cut = Window.partitionBy("row_key").orderBy("k")
+    return cuts.unionByName(ends).select(
+        "row_key",
+        "doc_id",
+        (F.row_number().over(by_cut) - 1).alias("piece_no"),
+        F.coalesce(F.lag("back_at").over(by_cut), zero).alias("first"),
+        F.col("cut_at").alias("end"),
+        F.coalesce(F.lag("cut_at").over(by_cut), zero).alias("mark"),
+        F.when(F.col("level") < 0, "end").otherwise(F.element_at(F.array(*map(F.lit, KINDS)), F.greatest(F.col("level"), F.lit(0)) + 1)).alias("kind"),
+    )
+
+
 def _exact(limit: int, path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for r in b.itertuples(index=False):
-                begin, n = fitted(r.text, 0, int(r.overlap_chars), len(r.text), limit, path)
-                rows.append((r.doc_id, r.piece_no, r.first_char + begin, r.end_char, r.overlap_chars - begin, n, r.cut_at, r.text[begin:]))
+                over = int(r.mark - r.first)
+                begin, n = fitted(r.text, 0, over, len(r.text), limit, path)
+                rows.append((r.doc_id, r.piece_no, r.first + begin, r.end, over - begin, n, r.kind, r.text[begin:]))
             yield pd.DataFrame(rows, columns=["doc_id", "piece_no", "first_char", "end_char", "overlap_chars", "n_tokens", "cut_at", "text"])
 
     return run
@@ -278,34 +327,105 @@ def _exact(limit: int, path: str):
 
 def giant_pieces(documents: DataFrame, limit: int, overlap: int, path: str, size: int = RANGE) -> DataFrame:
     """Pieces of texts of more than one range."""
-    spark = documents.sparkSession
-    docs = cut(documents.select(F.monotonically_increasing_id().alias("row_key"), "doc_id", "text"), "giant")
-    # One row a range, spread over the cluster.
-    spread = ranges(docs, size).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row_key", "range_no")
-    counted = cut(spread.select("row_key", "range_no", "lead", "chunk").mapInPandas(_counted(size, path), "row_key long, range_no int, n long"), "counted")
-    by_range = Window.partitionBy("row_key").orderBy("range_no")
-    sums = counted.select(
-        "row_key",
-        "range_no",
-        F.coalesce(F.sum("n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"),
-        F.sum("n").over(Window.partitionBy("row_key")).alias("total"),
-    )
-    found = spread.join(sums, ["row_key", "range_no"]).mapInPandas(_candidates(size, limit, overlap, path), "row_key long, doc_id long, k int, level int, cut_char long, back_char long")
-    cuts = found.groupBy("row_key", "k").agg(F.max(F.struct("level", "cut_char", "back_char")).alias("c")).select("row_key", "k", "c.*")
-    ends = docs.select("row_key", F.lit((1 << 31) - 1).alias("k"), F.lit(-1).alias("level"), F.length("text").cast("long").alias("cut_char"), F.lit(0).cast("long").alias("back_char"))
-    by_cut = Window.partitionBy("row_key").orderBy("k")
-    spans = cuts.unionByName(ends).select(
-        "row_key",
-        (F.row_number().over(by_cut) - 1).alias("piece_no"),
-        F.coalesce(F.lag("back_char").over(by_cut), F.lit(0)).alias("first_char"),
-        F.col("cut_char").alias("end_char"),
-        (F.coalesce(F.lag("cut_char").over(by_cut), F.lit(0)) - F.coalesce(F.lag("back_char").over(by_cut), F.lit(0))).cast("int").alias("overlap_chars"),
-        F.when(F.col("level") < 0, "end").otherwise(F.element_at(F.array(*map(F.lit, KINDS)), F.greatest(F.col("level"), F.lit(0)) + 1)).alias("cut_at"),
-    )
-    texts = docs.join(spans, "row_key").select(
-        "doc_id", "piece_no", "first_char", "end_char", "overlap_chars", "cut_at", F.substring("text", F.col("first_char").cast("int") + 1, (F.col("end_char") - F.col("first_char")).cast("int")).alias("text")
-    )
-    return texts.mapInPandas(_exact(limit, path), _PIECE)
+    keyed = documents.select(F.monotonically_increasing_id().alias("row_key"), "doc_id", "text")
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = cut(ranges(keyed, size).repartition(tasks, "row_key", "range_no"), "ranges")
+    spans = cut(_spans(spread, limit, overlap, path, size, False), "spans")
+    # Nearly every piece lies in the chunk of the range that it ends in.
+    owned = spans.withColumn("range_no", F.floor((F.col("end") - 1) / size).cast("int")).join(spread.select("row_key", "range_no", "at", "chunk"), ["row_key", "range_no"])
+    columns = ["row_key", "doc_id", "piece_no", "first", "end", "mark", "kind"]
+    near = owned.where("first >= at").select(*columns, F.substring("chunk", (F.col("first") - F.col("at")).cast("int") + 1, (F.col("end") - F.col("first")).cast("int")).alias("text"))
+    # One that is longer than a halo is put together from its ranges.
+    far = owned.where("first < at").select(*columns, F.explode(F.sequence(F.floor(F.col("first") / size).cast("int"), F.col("range_no"))).alias("range_no"))
+    start = F.greatest(F.col("first"), F.col("range_no").cast("long") * size)
+    part = F.substring("chunk", (start - F.col("at")).cast("int") + 1, (F.least("end", (F.col("range_no").cast("long") + 1) * size) - start).cast("int"))
+    parts = far.join(spread.select("row_key", "range_no", "at", "chunk"), ["row_key", "range_no"]).select(*columns, F.struct("range_no", part.alias("t")).alias("p"))
+    whole = parts.groupBy(*columns).agg(F.array_join(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["t"]), "").alias("text"))
+    return near.unionByName(whole).mapInPandas(_exact(limit, path), _PIECE)
+
+
+# ---- files, without loading any as a whole -------------------------------------------------------------
+
+
+def _open(uri: str):
+    from pyarrow import fs
+
+    system, name = fs.FileSystem.from_uri(uri)
+    return system.open_input_file(name)
+
+
+def _decoded(data: bytes) -> str:
+    """Text of the same length in bytes: a byte that is no UTF-8 is one question mark."""
+    try:
+        return data.decode()
+    except UnicodeDecodeError as e:
+        return data[: e.start].decode() + "?" * (e.end - e.start) + _decoded(data[e.end :])
+
+
+def _aligned(data: bytes, at: int) -> int:
+    """The first place at or behind ``at`` where a character begins."""
+    for k in range(at, min(at + 4, len(data))):
+        if data[k] & 0xC0 != 0x80:
+            return k
+    return min(at, len(data))
+
+
+_RANGE = "row_key long, doc_id string, range_no int, at long, chunk string, lead int, span int, total long"
+
+
+def file_ranges(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame:
+    """Ranges of ``size`` bytes of the files under ``path``: each task reads only its bytes and their halos."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length").where("length > 0")  # names and sizes alone
+    each = files.select(F.monotonically_increasing_id().alias("row_key"), "path", "length").withColumn("range_no", F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / size).cast("int"))))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for r in b.itertuples(index=False):
+                start = int(r.range_no) * size
+                low = max(0, start - _halo(size))
+                with _open(r.path) as f:
+                    f.seek(low)
+                    data = f.read(min(int(r.length), start + size + _halo(size)) - low)
+                first = _aligned(data, 0) if low else 0
+                last = len(data) if low + len(data) == r.length else _whole_characters(data)
+                a, z = _aligned(data, start - low), _aligned(data, min(start + size - low, last))
+                rows.append((r.row_key, r.path, r.range_no, low + first, _decoded(data[first:last]), len(_decoded(data[first:a])), len(_decoded(data[a:z])), r.length))
+            yield pd.DataFrame(rows, columns=["row_key", "doc_id", "range_no", "at", "chunk", "lead", "span", "total"])
+
+    return each.repartition(tasks, "row_key", "range_no").mapInPandas(run, _RANGE)
+
+
+def _whole_characters(data: bytes) -> int:
+    """The length of ``data`` without a character that is cut off at its end."""
+    for k in range(1, min(4, len(data)) + 1):
+        c = data[-k]
+        if c & 0xC0 != 0x80:
+            need = 4 if c >= 0xF0 else 3 if c >= 0xE0 else 2 if c >= 0xC0 else 1
+            return len(data) if k >= need else len(data) - k
+    return len(data)
+
+
+def file_pieces(spark: SparkSession, path: str, limit: int = LIMIT, overlap: int = OVERLAP, tokens: str = DEFAULT, size: int = RANGE) -> DataFrame:
+    """path, piece_no, first_byte, end_byte, overlap_bytes, n_tokens, cut_at, text of the files under ``path``."""
+    spread = cut(file_ranges(spark, path, size), "ranges")
+    spans = cut(_spans(spread, limit, overlap, tokens, size, True), "spans")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for r in b.itertuples(index=False):
+                with _open(r.doc_id) as f:
+                    f.seek(int(r.first))
+                    data = f.read(int(r.end - r.first))
+                text, over = _decoded(data), len(_decoded(data[: int(r.mark - r.first)]))
+                begin, n = fitted(text, 0, over, len(text), limit, tokens)
+                skipped = len(text[:begin].encode())
+                rows.append((r.doc_id, r.piece_no, r.first + skipped, r.end, r.mark - r.first - skipped, n, r.kind, text[begin:]))
+            yield pd.DataFrame(rows, columns=["path", "piece_no", "first_byte", "end_byte", "overlap_bytes", "n_tokens", "cut_at", "text"])
+
+    return spans.mapInPandas(run, "path string, piece_no int, first_byte long, end_byte long, overlap_bytes long, n_tokens int, cut_at string, text string")
 
 
 def pieces(documents: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, path: str = DEFAULT, size: int = RANGE) -> DataFrame:

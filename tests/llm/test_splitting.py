@@ -74,6 +74,22 @@ def test_ranges_give_what_the_whole_gives(spark):
         assert doc == 4 or same >= 0.5 * len(mine), (doc, same, len(mine))
 
 
+def test_files_by_bytes(spark, tmp_path):
+    texts = {"a.txt": prose(1500, 5) + HAN * 300 + "😀é" * 2000, "b.txt": HAN * 900, "c.txt": "tiny", "d.txt": "", "e.txt": "x\n" * 9000}
+    for n, t in texts.items():
+        (tmp_path / n).write_bytes(t.encode())
+    (tmp_path / "f.txt").write_bytes(b"bad \xff\xfe bytes " * 3000)
+    got = S.file_pieces(spark, str(tmp_path), 300, 40, size=4096).collect()
+    for n, t in texts.items():
+        mine = sorted((r for r in got if r.path.endswith(n)), key=lambda r: r.piece_no)
+        raw = t.encode()
+        assert b"".join(raw[r.first_byte + r.overlap_bytes : r.end_byte] for r in mine) == raw
+        assert all(raw[r.first_byte : r.end_byte].decode() == r.text and COUNT(r.text) == r.n_tokens <= 300 for r in mine)
+        assert len(mine) == (0 if not t else 1 if COUNT(t) <= 300 else len(mine)) and (len(mine) < 2 or COUNT(t) > 300)
+    bad = [r for r in got if r.path.endswith("f.txt")]
+    assert len(bad) > 10 and max(r.end_byte for r in bad) == 13 * 3000 and all(r.n_tokens <= 300 for r in bad)
+
+
 def test_frames(spark):
     df = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "word", "x"), (4, prose(800), "x"), (4, prose(800), "x"), (None, "no id", "x")], "doc_id long, text string, chunk string")
     got = S.pieces(df, 256, 32, size=8192).collect()
