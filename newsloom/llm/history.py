@@ -419,6 +419,8 @@ class History:
         hot, late = self._heat(texts, n)
         entries = texts.mapInArrow(_entries(self.shards, hot, late), _ENTRY_DDL)
         parts = self._read([p for _, p in self.parts], _OUT_DDL).where("key is not null")
+        # As many tasks as shards, whatever the session's number of partitions.
+        entries, parts = entries.repartition(self.shards, "shard"), parts.repartition(self.shards, "shard")
         entries.groupBy("shard").cogroup(parts.groupBy("shard")).applyInArrow(_take_in, _OUT_DDL).write.parquet(to)
         self.parts.append((0, to))
         near = self._read([to], _OUT_DDL).where("u is not null").select("u", "v")
