@@ -26,9 +26,17 @@ AI_KEYWORDS = (
     "transformer", "prompt", "diffusion", "agent", "多模态", "大模型", "模型", "人工智能", "机器学习", "深度学习", "智能体", "算力", "推理", "微调",
 )
 BROAD_AI_KEYWORDS = ("agent", "模型", "推理")
+NOISE = r"Ã.|Â.|â€.|[\x{80}-\x{9f}]|�"
 HAN = "一-鿿"
 
 
+def has_noise(s: Column) -> Column:
+    """Signs that a text was read in the wrong encoding."""
+    return F.coalesce(s.rlike(NOISE), F.lit(False))
+
+
+
+
 def has_han(s: Column) -> Column:
     return F.coalesce(s.rlike(f"[{HAN}]"), F.lit(False))
 

@@ -75,3 +75,21 @@ BROADCAST_ROWS = 100_000
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it is proven to have at most ``rows`` rows, else as it is."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def setting(spark: SparkSession, name: str, default: bool | int | float | str) -> bool | int | float | str:
+    """``newsloom.<name>`` of the session's configuration as the kind that ``default`` is; the default if unset or unreadable."""
+    raw = spark.conf.get(f"newsloom.{name}", None)
+    if raw is None or not raw.strip():
+        return default
+    if isinstance(default, bool):
+        return raw.strip().lower() in ("1", "true", "yes", "on")
+    try:
+        return type(default)(raw.strip())
+    except ValueError:
+        return default
+
+
+def sweep(spark: SparkSession) -> None:
+    """Removes all scratch tables of this library in the shared folder; no frame built on them may be read afterwards."""
+    remove(spark, f"{shared_root(spark)}/newsloom")

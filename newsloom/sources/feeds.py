@@ -444,3 +444,26 @@ def union(*parts: DataFrame) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
     return out
+
+
+def collect(adapters: dict[str, Callable[[], DataFrame]]) -> tuple[DataFrame | None, list[Record]]:
+    """Items of all adapters, and a status each: one that fails gives no items and keeps its error."""
+    parts, found = [], []
+    for name, make in adapters.items():
+        try:
+            part = make().cache()
+            n = part.count()
+        except Exception as e:  # noqa: BLE001  one adapter must not take the others down
+            found.append({"site_id": name, "ok": False, "n_items": 0, "error": f"{type(e).__name__}: {e}"[:200]})
+            continue
+        found.append({"site_id": name, "ok": True, "n_items": n, "error": None})
+        parts.append(part)
+    return (union(*parts) if parts else None), found
+
+
+def decode_escaped(text: str):
+    """JSON whose quotes and backslashes were escaped once more, or null."""
+    plain = _json_or(text, None)
+    if isinstance(plain, (dict, list)):
+        return plain
+    return _json_or(text.replace('\\"', '"').replace("\\\\", "\\"), None)

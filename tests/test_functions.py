@@ -167,3 +167,12 @@ def test_domains(spark):
 def test_display_source(spark):
     d = view.display_source(F.col("s"), F.col("o"), F.col("u"))
     assert one(spark, d, s="buzzing", o="Buzzing", u="https://www.a.b/c") == "a.b" and one(spark, d, s="x", o=" ", u="") == "未分区" and one(spark, d, s="x", o="Name", u="") == "Name"
+
+
+def test_noise_and_settings(spark):
+    from newsloom.runtime import setting
+
+    assert one(spark, titles.has_noise(F.col("t")), t="cafÃ©") is True and one(spark, titles.has_noise(F.col("t")), t="café") is False and one(spark, titles.has_noise(F.col("t")), t=None) is False
+    spark.conf.set("newsloom.a", "yes")
+    spark.conf.set("newsloom.b", "x")
+    assert setting(spark, "a", False) is True and setting(spark, "b", 3) == 3 and setting(spark, "c", 0.5) == 0.5

@@ -128,3 +128,18 @@ def test_caption_files(spark, tmp_path):
     assert [(c.cue_no, c.start_ms, c.end_ms, c.settings, c.lines) for c in cues] == [(1, 1000, 2500, "line:15%", ["A &amp; <b>B</b>", " "]), (2, 2000, 3000, "", []), (3, 3600500, 3601250, "", ["last"])]
     assert vtt.plain("A &amp; <b>B</b>&nbsp;&lt;i&gt;") == "A & B <i>" and vtt.cues(None) == [] and vtt.cues("WEBVTT") == []
     assert [r.item_id for r in files.captioned(spark, str(tmp_path)).collect()] == ["abc"]
+
+
+def test_collect(spark):
+    def bad():
+        raise ValueError("nothing there")
+
+    good = spark.createDataFrame([("a", 1)], "title string, ordinal long")
+    more = spark.createDataFrame([("b", "u")], "title string, url string")
+    rows, status = S.collect({"x": lambda: good, "y": bad, "z": lambda: more})
+    assert rows.count() == 2 and [s["ok"] for s in status] == [True, False, True] and status[1]["error"] == "ValueError: nothing there"
+    assert S.collect({"y": bad})[0] is None
+
+
+def test_decode_escaped():
+    assert S.decode_escaped('{\\"a\\":1}') == {"a": 1} and S.decode_escaped('{"a":1}') == {"a": 1} and S.decode_escaped("no") is None
