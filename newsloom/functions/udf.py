@@ -9,12 +9,25 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
+@F.pandas_udf(DoubleType())
+def similarity_from(a: pd.Series, b: pd.Series, jaccard: pd.Series, floor: pd.Series) -> pd.Series:
+    """Likeness of two titles where it reaches the floor; below it, that or zero."""
+    return pd.Series([0.0 if j is None or j != j else ratio(x, y, j, f) for x, y, j, f in zip(a, b, jaccard, floor, strict=True)], dtype=float)
+
+
 _SIGNS = re.compile("[ÃÂâ€]|[\x80-\x9f]|å|æ|ç")
 
 
-def ratio(a: str, b: str, jaccard: float) -> float:
-    """The greater of the matching ratio and its mean with the word overlap (three to two)."""
-    s = SequenceMatcher(None, a, b).ratio()
+def ratio(a: str, b: str, jaccard: float, floor: float = 0.0) -> float:
+    """The greater of the matching ratio and its mean with the word overlap (three to two).
+
+    With a floor, zero for pairs that cheap upper bounds of the ratio show to stay below it.
+    """
+    m = SequenceMatcher(None, a, b)
+    least = min(floor, (floor - 0.4 * jaccard) / 0.6) - 1e-4
+    if floor and (m.real_quick_ratio() < least or m.quick_ratio() < least):
+        return 0.0
+    s = m.ratio()
     return round(max(s, 0.6 * s + 0.4 * jaccard), 4)
 
 

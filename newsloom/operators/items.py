@@ -56,7 +56,7 @@ def _dropped(pdf: pd.DataFrame) -> list[str]:
                     continue
                 if not (_agree(r["vendors"], o["vendors"]) and _agree(r["models"], o["models"])):
                     continue
-                if ratio(r["story_title"], o["story_title"], len(words & o["words"]) / len(words | o["words"])) >= NEAR_SIMILARITY:
+                if ratio(r["story_title"], o["story_title"], len(words & o["words"]) / len(words | o["words"]), NEAR_SIMILARITY) >= NEAR_SIMILARITY:
                     same = k
                     break
         if same is None:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import titles
 from newsloom.functions.ids import story_id
 from newsloom.functions.times import recency
-from newsloom.functions.udf import similarity
+from newsloom.functions.udf import similarity_from
 from newsloom.functions.urls import IDENTITY_KEYS, canonical_story_url
 from newsloom.operators.components import components
 from newsloom.plans.dims import LABELS, importance_of, tier
@@ -55,7 +55,7 @@ def _edges(firsts: DataFrame) -> DataFrame:
     full = pairs.join(a, "ordinal").join(b, "o_ordinal")
     full = full.where(titles.compatible(F.col("vendors"), F.col("o_vendors")) & titles.compatible(F.col("models"), F.col("o_models")))
     j = F.when((F.size("words") > 0) & (F.size("o_words") > 0), titles.jaccard(F.col("words"), F.col("o_words")))
-    scored = full.withColumn("similarity", similarity(F.col("story_title"), F.col("o_story_title"), j))
+    scored = full.withColumn("similarity", similarity_from(F.col("story_title"), F.col("o_story_title"), j, F.lit(MERGE_SIMILARITY)))
     return scored.where(F.col("similarity") >= MERGE_SIMILARITY).select("ordinal", "o_ordinal", "similarity")
 
 
