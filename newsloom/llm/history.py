@@ -40,9 +40,9 @@ EDITS = 2
 #: Words of a suffix that its key holds.
 KEY_WORDS = 8
 #: One text in so many is sampled for hot substrings; how often one must occur there; how many there can be at most.
-SAMPLED, HOT, HOT_KEYS = 16, 64, 10_000
+SAMPLED, HOT, HOT_KEYS = 16, 32, 10_000
 #: Records that one shard is laid out for.
-SHARD_RECORDS = 20_000
+SHARD_RECORDS = 10_000
 
 # Hosts of videos, and parameters that do not choose the page.
 VIDEO_HOSTS = ("vids.example", "vid.example")
