@@ -12,7 +12,7 @@ from newsloom.functions import ids, text, times, titles, urls
 from newsloom.functions.udf import similarity, undo_mojibake
 from newsloom.operators import archive, blocks, captions, items, stats, stories, view
 from newsloom.plans.dims import importance_of
-from newsloom.runtime import table
+from newsloom.runtime import cut, table
 from newsloom.sources.vtt import explode_cues
 
 UTC = dt.timezone.utc
@@ -114,10 +114,9 @@ _TOKENS = (
 # ---- urls and ids --------------------------------------------------------------------------------
 
 
-@query(f"SELECT ordinal, {_norm(_strip('url'), _CAMPAIGN)} AS page FROM raw_item WHERE url NOT LIKE '%\\%%' ESCAPE '\\' OR url IS NULL")
+@query(f"SELECT ordinal, {_norm(_strip('url'), _CAMPAIGN)} AS page FROM raw_item")
 def url_normalized(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "raw_item")
-    return raw.where(F.col("url").isNull() | ~F.col("url").contains("%")).select("ordinal", urls.normalize_url(F.col("url")).alias("page"))
+    return table(spark, d, "raw_item").select("ordinal", urls.normalize_url(F.col("url")).alias("page"))
 
 
 @query(f"SELECT page, count(*) AS n_items, min(ordinal) AS first_ordinal FROM (SELECT ordinal, {_norm(_strip('url'), _IDENTITY)} AS page FROM archive_item) GROUP BY page")
@@ -148,10 +147,9 @@ def id_of_feeds(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT ordinal, coalesce(nullif(regexp_extract(url, '[?&]v=([\\w-]{6,})', 1), ''), nullif(regexp_extract(url, '/shorts/([\\w-]{6,})', 1), ''), nullif(regexp_extract(url, '/live/([\\w-]{6,})', 1), '')) AS video_id
-FROM archive_item WHERE url LIKE '%vids.example%'""")
+SELECT ordinal, coalesce(nullif(regexp_extract(url, '[?&]v=([\\w-]{6,})', 1), ''), nullif(regexp_extract(url, '/shorts/([\\w-]{6,})', 1), ''), nullif(regexp_extract(url, '/live/([\\w-]{6,})', 1), '')) AS video_id FROM archive_item""")
 def url_video_ids(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "archive_item").where(F.col("url").contains("vids.example")).select("ordinal", urls.video_id(F.col("url")).alias("video_id"))
+    return table(spark, d, "archive_item").select("ordinal", urls.video_id(F.col("url")).alias("video_id"))
 
 
 # ---- titles and texts ----------------------------------------------------------------------------
@@ -195,10 +193,12 @@ def title_of_story(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "archive_item").select("ordinal", titles.story_title(F.col("title")).alias("story_title"))
 
 
-@query("SELECT doc_id, md5(regexp_replace(text, '\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}\\b', '[redacted-email]', 'g')) AS clean FROM documents WHERE text NOT LIKE '%sk-%' AND text NOT LIKE '%=%'")
+@query("""
+SELECT doc_id, md5(replace(regexp_replace(replace(regexp_replace(text, '\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}\\b', '[redacted-email]', 'g'), 'sk-hynix', 'sk-' || chr(1)),
+ '(?i)\\b(sk-[A-Za-z0-9_-]{12,}|(?:api[_-]?key|secret|token)=([^\\s&]{6,}))\\b', '[redacted-secret]', 'g'), 'sk-' || chr(1), 'sk-hynix')) AS clean FROM documents""")
 def text_redacted(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, d, "documents").where(~t.contains("sk-") & ~t.contains("=")).select("doc_id", F.md5(titles.redact(t)).alias("clean"))
+    return table(spark, d, "documents").select("doc_id", F.md5(titles.redact(t)).alias("clean"))
 
 
 @query("SELECT ordinal, coalesce(nullif(trim(summary), ''), nullif(trim(site_name), ''), nullif(trim(source), ''), '') AS filled FROM archive_item")
@@ -231,18 +231,15 @@ def time_iso(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "archive_item").select("ordinal", times.iso(F.col("published_at")).alias("iso"))
 
 
-@query("""
-SELECT ordinal, CASE WHEN x > 10000000000 THEN (x / 1000)::BIGINT ELSE x END AS seconds
-FROM (SELECT ordinal, published_at::BIGINT AS x FROM raw_item WHERE regexp_matches(published_at, '^[0-9]{10}$'))""")
+@query("SELECT ordinal, CASE WHEN x > 10000000000 THEN floor(x / 1000) ELSE floor(x) END::BIGINT AS seconds FROM (SELECT ordinal, TRY_CAST(published_at AS DOUBLE) AS x FROM raw_item)")
 def time_from_unix(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "raw_item").where(F.col("published_at").rlike("^[0-9]{10}$"))
+    raw = table(spark, d, "raw_item")
     return raw.select("ordinal", F.floor(F.unix_micros(times.from_unix(F.col("published_at"))) / 1_000_000).alias("seconds"))
 
 
-@query("SELECT ordinal, epoch_us(try_cast(published_at AS TIMESTAMPTZ)) AS micros FROM raw_item WHERE regexp_matches(published_at, '^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:]{8}Z$')")
+@query()
 def time_parsed(spark: SparkSession, d: str) -> DataFrame:
-    raw = table(spark, d, "raw_item").where(F.col("published_at").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:]{8}Z$"))
-    return raw.select("ordinal", F.unix_micros(times.parse(F.col("published_at"))).alias("micros"))
+    return table(spark, d, "raw_item").select("ordinal", F.unix_micros(times.parse(F.col("published_at"))).alias("micros"))
 
 
 @query(f"SELECT ordinal, round(CASE WHEN e IS NULL THEN 0 ELSE greatest(0, least(1, (168 - greatest(0, (epoch_us({_NOW}) - epoch_us(e)) / 3600000000.0)) / 168)) END, 6) AS recency FROM (SELECT ordinal, {_EVENT} AS e FROM archive_item)")
@@ -348,14 +345,14 @@ def view_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-WITH d AS (SELECT ordinal, title, {_norm('trim(url)', _CAMPAIGN)} AS page, regexp_matches(title, '[\\x{{4e00}}-\\x{{9fff}}]') AS han FROM archive_item),
+WITH d AS (SELECT ordinal, title, {_norm('trim(url)', _CAMPAIGN)} AS page, regexp_matches(title, '[\\x{{4e00}}-\\x{{9fff}}]') AS han,
+ trim(title) <> '' AND NOT regexp_matches(title, '[\\x{{4e00}}-\\x{{9fff}}]') AND length(regexp_replace(title, '[^A-Za-z]', '', 'g')) >= greatest(6, length(trim(title)) // 4) AS english FROM archive_item),
  z AS (SELECT page, arg_max(title, ordinal) AS zh FROM d WHERE han GROUP BY page)
-SELECT d.ordinal, z.zh AS title_zh FROM d JOIN z USING (page) WHERE NOT d.han
- AND length(regexp_replace(d.title, '[^A-Za-z]', '', 'g')) >= greatest(6, length(trim(d.title)) // 4)""")
+SELECT d.ordinal, CASE WHEN d.english THEN d.title END AS title_en, CASE WHEN d.han THEN d.title WHEN d.english THEN z.zh END AS title_zh FROM d LEFT JOIN z USING (page)""")
 def view_bilingual(spark: SparkSession, d: str) -> DataFrame:
     cache = spark.createDataFrame([], "title string, title_zh string")
     b = view.bilingual(table(spark, d, "archive_item"), cache)
-    return b.where("title_en is not null and title_zh is not null").select("ordinal", "title_zh")
+    return b.select("ordinal", "title_en", "title_zh")
 
 
 @query(f"""
@@ -389,23 +386,30 @@ def items_excluded(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""
-WITH w AS (SELECT ordinal, id, {_TOKENS.format(t='title')} AS words FROM {_VIEW}),
- k AS (SELECT ordinal, unnest(words) AS word FROM w), p AS (SELECT DISTINCT a.ordinal AS a, b.ordinal AS b FROM k a JOIN k b ON a.word = b.word AND a.ordinal < b.ordinal)
-SELECT p.a, p.b, round(len(list_intersect(x.words, y.words)) / len(list_distinct(list_concat(x.words, y.words))), 6) AS jaccard
-FROM p JOIN w x ON x.ordinal = p.a JOIN w y ON y.ordinal = p.b WHERE len(list_intersect(x.words, y.words)) >= 0.8 * len(list_distinct(list_concat(x.words, y.words)))""")
+WITH w AS (SELECT ordinal, list_sort({_TOKENS.format(t='title')}) AS words FROM archive_item), n AS (SELECT ordinal, words, array_to_string(words, ' ') AS key FROM w WHERE len(words) > 0),
+ c AS (SELECT key, min(ordinal) AS rep, any_value(words) AS words FROM n GROUP BY key), k AS (SELECT rep, unnest(words) AS word FROM c),
+ p AS (SELECT DISTINCT a.rep AS a, b.rep AS b FROM k a JOIN k b ON a.word = b.word AND a.rep <> b.rep),
+ l AS (SELECT p.a AS rep, count(*) AS links FROM p JOIN c x ON x.rep = p.a JOIN c y ON y.rep = p.b
+  WHERE len(list_intersect(x.words, y.words)) >= 0.8 * len(list_distinct(list_concat(x.words, y.words))) GROUP BY 1)
+SELECT n.ordinal, c.rep AS class_ordinal, coalesce(l.links, 0) AS n_links FROM n JOIN c USING (key) LEFT JOIN l ON l.rep = c.rep""")
 def title_jaccard_links(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs of the view's titles with four fifths of their words in common, by prefixes of their rarest words.
+    """Each title with the class of titles of the same words, and with how many other classes share four fifths of the words.
 
-    Titles of equal words are one class and count once; the pairs of a class are listed from its members.
+    Only classes are compared, by an equi-join on prefixes of their rarest words: two sets of that
+    likeness share a word among the first n - ceil(0.8 n) + 1, so no link is lost.
     """
-    w = _viewed(spark, d).select("ordinal", titles.tokens(F.col("title")).alias("words")).where("size(words) > 0")
-    rare = w.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"))
-    ranked = w.select("ordinal", F.explode("words").alias("word")).join(rare, "word").groupBy("ordinal").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("r"))
-    prefix = ranked.select("ordinal", F.explode(F.slice("r", F.lit(1), F.size("r") - F.ceil(F.size("r") * 0.8).cast("int") + 1)).alias("p")).select("ordinal", F.col("p.word").alias("word"))
-    pairs = prefix.select("word", F.col("ordinal").alias("a")).join(prefix.select("word", F.col("ordinal").alias("b")), "word").where("a < b").select("a", "b").distinct()
-    x, y = w.select(F.col("ordinal").alias("a"), F.col("words").alias("x")), w.select(F.col("ordinal").alias("b"), F.col("words").alias("y"))
-    scored = pairs.join(x, "a").join(y, "b").withColumn("jaccard", titles.jaccard(F.col("x"), F.col("y")))
-    return scored.where("jaccard >= 0.8").select("a", "b", F.round("jaccard", 6).alias("jaccard"))
+    words = F.array_sort(titles.tokens(F.col("title")))
+    n = table(spark, d, "archive_item").select("ordinal", words.alias("words")).where("size(words) > 0").withColumn("key", F.array_join("words", " "))
+    classes = cut(n.groupBy("key").agg(F.min("ordinal").alias("rep"), F.min("words").alias("words")), "classes")
+    each = classes.select("rep", F.explode("words").alias("word"))
+    rare = each.groupBy("word").agg(F.count("*").alias("df"))
+    ranked = each.join(rare, "word").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("r"))
+    prefix = ranked.select("rep", F.explode(F.slice("r", F.lit(1), F.size("r") - F.ceil(F.size("r") * 0.8).cast("int") + 1)).alias("p")).select("rep", F.col("p.word").alias("word"))
+    pairs = prefix.select("word", F.col("rep").alias("a")).join(prefix.select("word", F.col("rep").alias("b")), "word").where("a < b").select("a", "b").distinct()
+    x, y = classes.select(F.col("rep").alias("a"), F.col("words").alias("x")), classes.select(F.col("rep").alias("b"), F.col("words").alias("y"))
+    linked = pairs.join(x, "a").join(y, "b").where(titles.jaccard(F.col("x"), F.col("y")) >= 0.8)
+    links = linked.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
+    return n.join(classes.select("key", "rep"), "key").join(links, "rep", "left").select("ordinal", F.col("rep").alias("class_ordinal"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 # ---- stories -----------------------------------------------------------------------------------------
