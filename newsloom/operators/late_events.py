@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.runtime import remove
+from newsloom.runtime import names, remove
 
 CUTOFF_HOURS = 48
 _DAY = 86_400_000_000
@@ -67,14 +67,16 @@ class LambdaView:
     log/       every row ever taken in, by run
     fast/      increments of the runs since the last recompute
     view-N/    what recompute N gave; the folder with the largest N that is complete holds
-    A recompute that is broken off leaves the earlier view in force.
+    A recompute that is broken off leaves the earlier view in force; a view that is opened again
+    goes on from what lies in the folders.
     """
 
     def __init__(self, spark: SparkSession, path: str, cutoff_hours: int = CUTOFF_HOURS):
         self.spark, self.path, self.cutoff_hours = spark, path.rstrip("/"), cutoff_hours
-        self.runs = 0
-        self.views = 0
-        self.since: list[int] = []
+        self.runs = 1 + max((int(n[4:]) for n in names(spark, f"{self.path}/log") if n.startswith("run=")), default=-1)
+        self.since = sorted(int(n[4:]) for n in names(spark, f"{self.path}/fast") if n.startswith("run="))
+        whole = [n for n in names(spark, self.path) if n.startswith("view-") and "_SUCCESS" in names(spark, f"{self.path}/{n}")]
+        self.views = max((int(n[5:]) for n in whole), default=0)
 
     def _read(self, part: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{part}")

@@ -64,8 +64,39 @@ def cut(df: DataFrame, label: str = "cut") -> DataFrame:
 
 
 def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _file(spark, path)
+    fs.delete(at, True)
+
+
+def _file(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of the shared storage; none if there is no such folder."""
+    fs, at = _file(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or null if there is none."""
+    fs, at = _file(spark, path)
+    if not fs.exists(at):
+        return None
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Puts a small file in the place of an older one once it is written whole."""
+    fs, at = _file(spark, path)
+    _, new = _file(spark, f"{path}.new")
+    out = fs.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(at, False)
+    if not fs.rename(new, at):
+        raise OSError(f"could not move {path}.new")
 
 
 #: Rows up to which a side table may be broadcast; beyond it the join stays a shuffled one.

@@ -50,6 +50,7 @@ def test_view_equals_counts_from_scratch(spark, tmp_path):
             rows.append((len(rows), f"i{rng.randrange(150)}", rng.choice([t(day, rng.randrange(24)), None, t(day, 3)]), clock))
     view = le.LambdaView(spark, f"file://{tmp_path}/view")
     for run in range(8):
+        view = le.LambdaView(spark, f"file://{tmp_path}/view")  # opened again each time
         view.ingest(frame(spark, [r for r in rows if r[3] == t(2 + run)]))
         if run in (2, 5):
             view.recompute(t(2 + run))
