@@ -20,6 +20,7 @@ smallest ordinal that can be reached; rows without first_seen_at belong to the l
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.text import is_blank, strip
 from newsloom.functions.urls import params, unescape
 from newsloom.operators.components import components
-from newsloom.runtime import cut, remove, scratch
+from newsloom.runtime import cut, read_text, remove, scratch, write_text
 
 #: Words that two summaries may differ by.
 EDITS = 2
@@ -351,7 +352,11 @@ def _merge(rows: pa.Table) -> pa.Table:
 
 
 class History:
-    """All that was accepted, under ``path`` in the shared folder; survives executors, not rewritten in place."""
+    """All that was accepted, under ``path`` in the shared folder, where nothing is rewritten in place.
+
+    ``manifest.json`` names the parts in force; it is replaced when a batch is in, so that a batch
+    that is broken off leaves no trace, and a history that is opened again goes on from there.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None, shards: int = 64):
         self.spark, self.path, self.shards = spark, (path or scratch(spark, "history")).rstrip("/"), shards
@@ -361,13 +366,23 @@ class History:
         self.links: list[str] = []
         #: Hot substrings, with the batch from which on they are.
         self.hot: dict[int, int] = {}
+        if known := read_text(spark, f"{self.path}/manifest.json"):
+            m = json.loads(known)
+            self.shards, self.keys, self.links = m["shards"], m["keys"], m["links"]
+            self.parts = [(level, p) for level, p in m["parts"]]
+            self.hot = {int(h): b for h, b in m["hot"].items()}
+
+    def _save(self) -> None:
+        state = {"shards": self.shards, "parts": self.parts, "keys": self.keys, "links": self.links, "hot": self.hot}
+        write_text(self.spark, f"{self.path}/manifest.json", json.dumps(state))
 
     def _read(self, paths: list[str], ddl: str) -> DataFrame:
         return self.spark.read.schema(ddl).parquet(*paths) if paths else self.spark.createDataFrame([], ddl)
 
-    def _compact(self) -> None:
-        """Merges parts of one level two by two."""
+    def _compact(self) -> list[str]:
+        """Merges parts of one level two by two; gives those that are no longer needed."""
         self.parts.sort()
+        gone: list[str] = []
         i = 0
         while i + 1 < len(self.parts):
             (level, a), (other, b) = self.parts[i], self.parts[i + 1]
@@ -375,12 +390,12 @@ class History:
                 i += 1
                 continue
             to = f"{self.path}/part-{level + 1}-{len(self.links)}-{i}"
-            self._read([a, b], _OUT_DDL).where("key is not null").groupBy("shard").applyInArrow(_merge, _OUT_DDL).write.parquet(to)
+            self._read([a, b], _OUT_DDL).where("key is not null").groupBy("shard").applyInArrow(_merge, _OUT_DDL).write.mode("overwrite").parquet(to)
             self.parts[i : i + 2] = [(level + 1, to)]
             self.parts.sort()
-            for old in (a, b):
-                remove(self.spark, old)
+            gone += [a, b]
             i = 0
+        return gone
 
     def _heat(self, texts: DataFrame, batch: int) -> tuple[np.ndarray, np.ndarray]:
         """The substrings that are hot so far, and those of them that were not from the first batch on.
@@ -397,7 +412,7 @@ class History:
     def accept(self, batch: DataFrame) -> None:
         """Takes in a batch (ordinal, id, url, summary): finds its links, adds its keys and its part."""
         n = len(self.links)
-        self._compact()
+        gone = self._compact()
         rows = batch.select(F.col("ordinal").cast("long").alias("ordinal"), F.col("id").cast("string").alias("id"), "url", "summary").where("ordinal is not null")
         # Equal keys.
         # Written before it is exploded: a filter that the optimizer derives from an explode would repeat all expressions.
@@ -410,7 +425,7 @@ class History:
             known = old.groupBy("h1", "h2").agg(F.min("first").alias("known"))
             least = least.join(known, ["h1", "h2"], "left").select("h1", "h2", F.coalesce("known", "first").alias("first"))
         to = f"{self.path}/keys-{n}"
-        least.write.parquet(to)
+        least.write.mode("overwrite").parquet(to)
         self.keys.append(to)
         equal = keyed.join(self._read([to], "h1 long, h2 long, first long"), ["h1", "h2"]).where("ordinal <> first").select(F.col("ordinal").alias("u"), F.col("first").alias("v")).distinct()
         # Near repeats.
@@ -421,12 +436,15 @@ class History:
         parts = self._read([p for _, p in self.parts], _OUT_DDL).where("key is not null")
         # As many tasks as shards, whatever the session's number of partitions.
         entries, parts = entries.repartition(self.shards, "shard"), parts.repartition(self.shards, "shard")
-        entries.groupBy("shard").cogroup(parts.groupBy("shard")).applyInArrow(_take_in, _OUT_DDL).write.parquet(to)
+        entries.groupBy("shard").cogroup(parts.groupBy("shard")).applyInArrow(_take_in, _OUT_DDL).write.mode("overwrite").parquet(to)
         self.parts.append((0, to))
         near = self._read([to], _OUT_DDL).where("u is not null").select("u", "v")
         to = f"{self.path}/links-{n}"
-        equal.unionByName(near).write.parquet(to)
+        equal.unionByName(near).write.mode("overwrite").parquet(to)
         self.links.append(to)
+        self._save()
+        for old in gone:
+            remove(self.spark, old)
 
     def repeats(self) -> DataFrame:
         """kept_ordinal, dup_ordinal: every row taken in that repeats an item, with the item's first row."""

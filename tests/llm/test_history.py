@@ -78,8 +78,9 @@ def test_against_brute_force(spark, batches):
 
 def test_parts_are_merged_logarithmically(spark):
     rows = made(120, 4)
-    h = H.History(spark, shards=3)
+    path = H.History(spark).path
     for k in range(6):
+        h = H.History(spark, path, shards=3)  # opened again each time: it goes on from the manifest
         h.accept(frame(spark, rows[20 * k : 20 * k + 20]))
         assert len(h.parts) <= 3
     assert pairs(h.repeats()) == brute(rows)
