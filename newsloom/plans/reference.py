@@ -63,12 +63,14 @@ def _viewed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _items(spark: SparkSession, d: str) -> DataFrame:
-    return items.suppressed(items.distinct_items(items.daily_items(view.displayed(_viewed(spark, d)))))
+    """Display items without repeats, written once: the stories read them several times."""
+    shown = cut(view.displayed(_viewed(spark, d)), "shown")
+    return cut(items.suppressed(items.distinct_items(items.daily_items(shown))), "items")
 
 
 def _stories(spark: SparkSession, d: str) -> DataFrame:
     rows = _items(spark, d)
-    return stories.records(rows, stories.merged(rows), NOW, view.WINDOW_HOURS)
+    return stories.records(rows, cut(stories.merged(rows), "merged"), NOW, view.WINDOW_HOURS)
 
 
 # ---- SQL pieces ----------------------------------------------------------------------------------
