@@ -97,11 +97,15 @@ class LambdaView:
         return run
 
     def recompute(self, clock) -> DataFrame:
-        """Batch layer: open periods anew from the whole log; periods whose cut-off is at or before
-        ``clock`` (a datetime in UTC) are frozen as they then stand."""
-        fresh = daily(self._read("log"), self.cutoff_hours).select("period_day", "n_items")
-        past = F.unix_micros(F.lit(clock).cast("timestamp")) >= _end_micros(F.to_date("period_day")) + self.cutoff_hours * 3_600_000_000
-        fresh = fresh.withColumn("frozen", past)
+        """Batch layer: open periods anew from the whole log; periods whose cut-off is before ``clock``
+        (a datetime in UTC) are frozen as they then stand. A row that arrives at the very cut-off still
+        corrects, so a period whose cut-off is at ``clock`` is frozen only if the run of ``clock`` is in."""
+        log = self._read("log")
+        fresh = daily(log, self.cutoff_hours).select("period_day", "n_items")
+        now = F.lit(clock).cast("timestamp")
+        run_is_in = not log.where(F.col("first_seen_at").cast("timestamp") == now).isEmpty()
+        cutoff = _end_micros(F.to_date("period_day")) + self.cutoff_hours * 3_600_000_000
+        fresh = fresh.withColumn("frozen", F.unix_micros(now) >= cutoff if run_is_in else F.unix_micros(now) > cutoff)
         if self.views:
             held = self._read(f"view-{self.views}").where("frozen")
             fresh = held.unionByName(fresh.join(held.select("period_day"), "period_day", "left_anti"))

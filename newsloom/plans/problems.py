@@ -17,12 +17,18 @@ def p2_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_served(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The view after two batches and a recompute in between; the second batch is provisional."""
+    """The view after two batches and a recompute in between; the second batch is provisional.
+
+    Rows without first_seen_at count as on time and are in the first batch, before anything is frozen.
+    """
     log = table(spark, sf_dir, "archive_item")
-    clocks = [r[0] for r in log.select("first_seen_at").distinct().orderBy("first_seen_at").collect()]  # one row a run
-    middle = clocks[len(clocks) // 2]
+    clocks = [r[0] for r in log.select("first_seen_at").where("first_seen_at is not null").distinct().orderBy("first_seen_at").collect()]  # one row a run
     view = late_events.LambdaView(spark, scratch(spark, "late"))
-    view.ingest(log.where(log.first_seen_at < middle))
+    if not clocks:
+        view.ingest(log)
+        return view.serve()
+    middle = clocks[len(clocks) // 2]
+    view.ingest(log.where((log.first_seen_at < middle) | log.first_seen_at.isNull()))
     view.recompute(middle)
     view.ingest(log.where(log.first_seen_at >= middle))
     return view.serve()

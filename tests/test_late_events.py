@@ -71,3 +71,28 @@ def test_frozen_periods_do_not_move(spark, tmp_path):
     view.ingest(frame(spark, [(2, "b", t(1, 5), t(6))]))
     view.recompute(t(6))
     assert [(r.period_day, r.n_items, r.state) for r in view.serve().collect()] == [("2025-10-01", 1, "frozen")]
+
+
+def test_a_row_at_the_very_cutoff_is_not_frozen_out(spark, tmp_path):
+    rows = [(1, "a", t(1, 5), t(1, 6)), (2, "c", t(1, 5), t(4)), (3, "d", t(1, 5), t(4, 0, 1))]
+    view = le.LambdaView(spark, f"file://{tmp_path}/view")
+    view.ingest(frame(spark, rows[:1]))
+    view.recompute(t(4))
+    view.ingest(frame(spark, rows[1:2]))
+    assert [(r.n_items, r.state) for r in view.serve().collect()] == [(2, "provisional")]
+    view.recompute(t(4))
+    view.ingest(frame(spark, rows[2:]))
+    view.recompute(t(5))
+    truth = {r.period_day: r.n_items for r in le.daily(frame(spark, rows)).collect()}
+    assert {r.period_day: r.n_items for r in view.serve().collect()} == truth == {"2025-10-01": 2}
+
+
+def test_served_query_loses_no_row(spark, tmp_path):
+    from newsloom.plans.problems import p2_daily, p2_served
+
+    rows = [(1, "a", t(1, 5), t(1, 6)), (2, "g", t(1), None), (3, "c", t(1, 5), t(4)), (4, "d", t(1, 5), t(9))]
+    frame(spark, rows).write.parquet(f"{tmp_path}/archive_item.parquet")
+    served = {r.period_day: r.n_items for r in p2_served(spark, str(tmp_path)).collect()}
+    assert served == {r.period_day: r.n_items for r in p2_daily(spark, str(tmp_path)).collect()} == {"2025-10-01": 3}
+    frame(spark, rows[1:2]).write.mode("overwrite").parquet(f"{tmp_path}/archive_item.parquet")
+    assert [r.n_items for r in p2_served(spark, str(tmp_path)).collect()] == [1]
