@@ -84,6 +84,8 @@ class Units:
         at = [0, *(o for o, _ in marks), len(text)]
         level = [PARAGRAPH, *(k for _, k in marks), PARAGRAPH]
         n = self.counts([text[a:b] for a, b in zip(at, at[1:], strict=False)])
+        #: Tokens without refinement; ``total`` is on the scale of the marks.
+        self.plain = sum(n)
         self.at, self.level, self.tokens = [0], [PARAGRAPH], [0]
         for a, b, k, size in zip(at, at[1:], level[1:], n, strict=False):
             if size > fine:
@@ -238,14 +240,18 @@ def ranges(documents: DataFrame, size: int = RANGE) -> DataFrame:
     )
 
 
-def _counted(size: int, path: str):
+def _counted(size: int, limit: int, overlap: int, path: str):
+    _, width = grid(limit, overlap)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            n = []
+            n, plain = [], []
             for r in b.itertuples(index=False):
                 a, z = _own(r.chunk, int(r.lead), int(r.span), size)
-                n.append(Units(r.chunk[a:z], path, 1 << 30).total)
-            yield pd.DataFrame({"row_key": b["row_key"], "range_no": b["range_no"], "n": n})
+                u = Units(r.chunk[a:z], path, width // 2)  # as in _candidates, so that sums and marks are on one scale
+                n.append(u.total)
+                plain.append(u.plain)
+            yield pd.DataFrame({"row_key": b["row_key"], "range_no": b["range_no"], "n": n, "plain": plain})
 
     return run
 
@@ -268,7 +274,7 @@ def _candidates(size: int, limit: int, overlap: int, path: str, in_bytes: bool):
                 def offset(o: int, r=r) -> int:
                     return int(r.at) + (len(r.chunk[:o].encode()) if in_bytes else o)
 
-                if r.all <= limit:
+                if r.plain <= limit:
                     continue
                 a, z = _own(r.chunk, int(r.lead), int(r.span), size)
                 u = Units(r.chunk[a:z], path, width // 2)
@@ -287,13 +293,14 @@ def _candidates(size: int, limit: int, overlap: int, path: str, in_bytes: bool):
 def _spans(spread: DataFrame, limit: int, overlap: int, path: str, size: int, in_bytes: bool) -> DataFrame:
     """row_key, doc_id, piece_no, first, end, mark (where the overlap ends), kind: pieces by offset."""
     kind = spread.schema["doc_id"].dataType.simpleString()
-    counted = cut(spread.select("row_key", "range_no", "lead", "span", "chunk").mapInPandas(_counted(size, path), "row_key long, range_no int, n long"), "counted")
+    counted = cut(spread.select("row_key", "range_no", "lead", "span", "chunk").mapInPandas(_counted(size, limit, overlap, path), "row_key long, range_no int, n long, plain long"), "counted")
     by_range = Window.partitionBy("row_key").orderBy("range_no")
     sums = counted.select(
         "row_key",
         "range_no",
         F.coalesce(F.sum("n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"),
         F.sum("n").over(Window.partitionBy("row_key")).alias("all"),
+        F.sum("plain").over(Window.partitionBy("row_key")).alias("plain"),
     )
     found = spread.join(sums, ["row_key", "range_no"]).mapInPandas(_candidates(size, limit, overlap, path, in_bytes), f"row_key long, doc_id {kind}, k int, level int, cut_at long, back_at long")
     # Neighbouring ranges may both have a mark for a point of the grid: the better one counts, of equals the later.

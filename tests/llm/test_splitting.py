@@ -74,6 +74,22 @@ def test_ranges_give_what_the_whole_gives(spark):
         assert doc == 4 or same >= 0.5 * len(mine), (doc, same, len(mine))
 
 
+def test_unbroken_texts_of_several_ranges_keep_the_limit(spark):
+    """At the production range size: pieces over range borders too, with their overlap; and what is within the limit stays whole."""
+    json = "".join(f'{{"id":{k},"v":"{k * 7919 % 1000:x}"}},' for k in range(9000))
+    texts = dict(enumerate(["x" * 200_000, json, " " * 70_000, "=" * 70_000, prose(200) + "y" * 150_000 + prose(200)]))
+    assert min(map(len, texts.values())) > S.RANGE
+    got = S.pieces(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    for doc, text in texts.items():
+        mine = sorted((r for r in got if r.doc_id == doc), key=lambda r: r.piece_no)
+        assert "".join(r.text[r.overlap_chars :] for r in mine) == text
+        assert all(r.n_tokens == COUNT(r.text) <= S.LIMIT for r in mine), (doc, [r.n_tokens for r in mine])
+        assert all(r.overlap_chars for r in mine[1:])
+    rule = "-" * 70_000
+    assert COUNT(rule) <= 4400 < S.Units(rule, DEFAULT, S.grid(4400, 64)[1] // 2).total
+    assert S.pieces(spark.createDataFrame([(1, rule)], "doc_id long, text string"), 4400).count() == 1
+
+
 def test_files_by_bytes(spark, tmp_path):
     texts = {"a.txt": prose(1500, 5) + HAN * 300 + "😀é" * 2000, "b.txt": HAN * 900, "c.txt": "tiny", "d.txt": "", "e.txt": "x\n" * 9000}
     for n, t in texts.items():
