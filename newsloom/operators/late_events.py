@@ -9,12 +9,16 @@ counts as on time; an id counts once, by its first row (smallest ordinal) with a
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.runtime import names, remove
+from newsloom.runtime import names, remove, small_side
 
 CUTOFF_HOURS = 48
+#: Batches in which a whole log is taken in, and after how many the batch layer runs.
+BATCHES, EVERY = 8, 2
 _DAY = 86_400_000_000
 
 
@@ -53,9 +57,13 @@ def late_rows(log: DataFrame, cutoff_hours: int = CUTOFF_HOURS) -> DataFrame:
 
 def daily(log: DataFrame, cutoff_hours: int = CUTOFF_HOURS) -> DataFrame:
     """period_day, n_on_time, n_corrects, n_too_late, n_items: the counts as they stand at the end."""
+    return counts(classified(log, cutoff_hours))
+
+
+def counts(rows: DataFrame) -> DataFrame:
+    """Counts by period of classified rows."""
     return (
-        classified(log, cutoff_hours)
-        .groupBy("period_day")
+        rows.groupBy("period_day")
         .agg(*[F.count_if(F.col("verdict") == v).alias(f"n_{v}") for v in ("on_time", "corrects", "too_late")])
         .withColumn("n_items", F.col("n_on_time") + F.col("n_corrects"))
     )
@@ -66,7 +74,8 @@ class LambdaView:
 
     log/       every row ever taken in, by run
     fast/      increments of the runs since the last recompute
-    view-N/    what recompute N gave; the folder with the largest N that is complete holds
+    rows-N/    ordinal, period_day, verdict of each row that recompute N counted
+    view-N/    the counts of rows-N; the folder with the largest N that is complete holds
     A recompute that is broken off leaves the earlier view in force; a view that is opened again
     goes on from what lies in the folders.
     """
@@ -101,23 +110,36 @@ class LambdaView:
         (a datetime in UTC) are frozen as they then stand. A row that arrives at the very cut-off still
         corrects, so a period whose cut-off is at ``clock`` is frozen only if the run of ``clock`` is in."""
         log = self._read("log")
-        fresh = daily(log, self.cutoff_hours).select("period_day", "n_items")
         now = F.lit(clock).cast("timestamp")
         run_is_in = not log.where(F.col("first_seen_at").cast("timestamp") == now).isEmpty()
         cutoff = _end_micros(F.to_date("period_day")) + self.cutoff_hours * 3_600_000_000
-        fresh = fresh.withColumn("frozen", F.unix_micros(now) >= cutoff if run_is_in else F.unix_micros(now) > cutoff)
+        rows = classified(log, self.cutoff_hours).select("ordinal", "period_day", "verdict")
         if self.views:
-            held = self._read(f"view-{self.views}").where("frozen")
-            fresh = held.unionByName(fresh.join(held.select("period_day"), "period_day", "left_anti"))
+            # Of a frozen period the rows stand as they were; what came since is too late.
+            frozen = small_side(self._read(f"view-{self.views}").where("frozen").select("period_day"))
+            held = self._read(f"rows-{self.views}").where("verdict <> 'too_late'").join(frozen, "period_day", "left_semi")
+            since = rows.join(frozen.withColumn("is_frozen", F.lit(True)), "period_day", "left").where("is_frozen is null or verdict = 'too_late'")
+            rows = held.unionByName(since.drop("is_frozen"))
         self.views += 1
+        rows.write.mode("overwrite").parquet(f"{self.path}/rows-{self.views}")
+        fresh = counts(self._read(f"rows-{self.views}")).withColumn("frozen", F.unix_micros(now) >= cutoff if run_is_in else F.unix_micros(now) > cutoff)
         fresh.write.mode("overwrite").parquet(f"{self.path}/view-{self.views}")
         done, self.since = self.since, []
         for run in done:
             remove(self.spark, f"{self.path}/fast/run={run}")
         if self.views > 1:
             remove(self.spark, f"{self.path}/view-{self.views - 1}")
+            remove(self.spark, f"{self.path}/rows-{self.views - 1}")
         return self._read(f"view-{self.views}")
 
+    def late(self) -> DataFrame:
+        """ordinal, period_day, verdict of the rows that came after the end of their period, as of the last recompute."""
+        return self._read(f"rows-{self.views}").where("verdict <> 'on_time'").select("ordinal", "period_day", "verdict")
+
+    def daily(self) -> DataFrame:
+        """period_day, n_on_time, n_corrects, n_too_late, n_items as of the last recompute."""
+        return self._read(f"view-{self.views}").drop("frozen")
+
     def serve(self) -> DataFrame:
         """period_day, n_items, state: frozen, corrected by the last recompute, or provisional."""
         schema = "period_day string, n_items long, frozen boolean"
@@ -132,3 +154,21 @@ class LambdaView:
             (F.coalesce("n_items", F.lit(0)) + F.when(frozen, 0).otherwise(F.coalesce("more", F.lit(0)))).cast("long").alias("n_items"),
             F.when(frozen, "frozen").when(F.col("more").isNotNull(), "provisional").otherwise("corrected").alias("state"),
         )
+
+
+def replay(log: DataFrame, path: str, batches: int = BATCHES, every: int = EVERY) -> LambdaView:
+    """Takes in a whole log in so many batches of whole runs, in order of their clocks, and recomputes
+    after every few of them and at the end. Rows without first_seen_at are in the first batch.
+    Ordinals ascend with the clocks: that an id counts by its smallest is known when its period is frozen."""
+    at = F.col("first_seen_at")
+    clocks = [r[0] for r in log.select(at).where(at.isNotNull()).distinct().orderBy(at).collect()]  # one row a run
+    view = LambdaView(log.sparkSession, path)
+    ends = sorted({clocks[len(clocks) * i // batches - 1] for i in range(1, batches + 1) if len(clocks) * i >= batches})
+    if not ends:
+        view.ingest(log)
+        view.recompute(dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc))
+    for i, end in enumerate(ends):
+        view.ingest(log.where((at > F.lit(ends[i - 1])) & (at <= F.lit(end)) if i else at.isNull() | (at <= F.lit(end))))
+        if (i + 1) % every == 0 or i + 1 == len(ends):
+            view.recompute(end)
+    return view

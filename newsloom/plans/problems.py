@@ -9,11 +9,11 @@ from newsloom.runtime import scratch, table
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return late_events.late_rows(table(spark, sf_dir, "archive_item"))
+    return late_events.replay(table(spark, sf_dir, "archive_item"), scratch(spark, "late")).late()
 
 
 def p2_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return late_events.daily(table(spark, sf_dir, "archive_item"))
+    return late_events.replay(table(spark, sf_dir, "archive_item"), scratch(spark, "late")).daily()
 
 
 def p2_served(spark: SparkSession, sf_dir: str) -> DataFrame:

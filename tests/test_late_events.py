@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from newsloom.operators import late_events as le
 
 UTC = dt.timezone.utc
@@ -96,3 +98,34 @@ def test_served_query_loses_no_row(spark, tmp_path):
     assert served == {r.period_day: r.n_items for r in p2_daily(spark, str(tmp_path)).collect()} == {"2025-10-01": 3}
     frame(spark, rows[1:2]).write.mode("overwrite").parquet(f"{tmp_path}/archive_item.parquet")
     assert [r.n_items for r in p2_served(spark, str(tmp_path)).collect()] == [1]
+
+
+@pytest.mark.parametrize(("batches", "every"), [(1, 1), (3, 1), (8, 2)])
+def test_replayed_view_equals_rows_from_scratch(spark, tmp_path, batches, every):
+    rng = random.Random(5)
+    rows = []
+    for run in range(12):
+        for _ in range(20):
+            day = rng.choice([run + 1, run, max(1, run - 1), max(1, run - 2), max(1, run - 5), 30])
+            rows.append((len(rows), f"i{rng.randrange(170)}", rng.choice([t(day, rng.randrange(24)), None, t(day, 3)]), t(2 + run)))
+    rows += [(1000, "n", t(1, 5), None)]
+    view = le.replay(frame(spark, rows), f"file://{tmp_path}/view", batches, every)
+    want = le.late_rows(frame(spark, rows)).collect()
+    assert sorted(view.late().collect()) == sorted(want) and {r.verdict for r in want} == {"corrects", "too_late"}
+    assert sorted(view.daily().collect()) == sorted(le.daily(frame(spark, rows)).collect())
+    assert view.runs == batches and view.views == -(-batches // every) and not view.since
+    assert {r.state for r in view.serve().collect()} == {"frozen", "corrected"}
+
+
+def test_found_goes_through_the_view(spark, tmp_path, monkeypatch):
+    from newsloom.plans.problems import p2_daily, p2_found
+
+    frame(spark, CASES).write.parquet(f"{tmp_path}/archive_item.parquet")
+    calls = []
+    for name in ("ingest", "recompute"):
+        monkeypatch.setattr(le.LambdaView, name, lambda self, x, f=getattr(le.LambdaView, name), n=name: (calls.append(n), f(self, x))[1])
+    assert sorted(p2_found(spark, str(tmp_path)).collect()) == sorted(le.late_rows(frame(spark, CASES)).collect())
+    assert calls.count("ingest") > 1 and calls[-1] == "recompute"
+    assert p2_daily(spark, str(tmp_path)).columns == le.daily(frame(spark, CASES)).columns
+    frame(spark, CASES).limit(0).write.mode("overwrite").parquet(f"{tmp_path}/archive_item.parquet")
+    assert p2_found(spark, str(tmp_path)).count() == 0
