@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -42,6 +42,8 @@ EDITS = 2
 KEY_WORDS = 8
 #: One text in so many is sampled for hot substrings; how often one must occur there; how many there can be at most.
 SAMPLED, HOT, HOT_KEYS = 16, 32, 10_000
+#: Batches in which a whole archive is taken in.
+BATCHES = 8
 #: Records that one shard is laid out for.
 SHARD_RECORDS = 10_000
 
@@ -291,25 +293,27 @@ class _Links:
 
 
 class _Suffixes:
-    """One shard of a suffix array: sorted keys, with role, ordinal and words of each."""
+    """One shard of a suffix array: sorted keys, with role, ordinal and words of each; words are cut out where they are needed."""
 
-    def __init__(self, key: np.ndarray, role: np.ndarray, ordinal: np.ndarray, words: list[bytes]):
+    def __init__(self, key: np.ndarray, role: np.ndarray, ordinal: np.ndarray, words: bytes, lengths: np.ndarray):
+        self.key, self.role, self.ordinal, self.words, self.lengths = key, role, ordinal, words, lengths
+        self.ends = np.cumsum(lengths, dtype=np.int64)
+
+    @staticmethod
+    def sorted(key: np.ndarray, role: np.ndarray, ordinal: np.ndarray, words: list[bytes]) -> _Suffixes:
         order = np.lexsort((ordinal, key))
-        self.key, self.role, self.ordinal = key[order], role[order], ordinal[order]
-        self.words = [words[i] for i in order]
+        return _Suffixes(key[order], role[order], ordinal[order], b"".join([words[i] for i in order]), np.array([len(words[i]) for i in order], np.int32))
 
     @staticmethod
     def of(row: dict) -> _Suffixes:
-        lengths = np.frombuffer(row["lengths"], np.int32)
-        ends = np.cumsum(lengths)
-        words = [row["words"][e - n : e] for n, e in zip(lengths, ends, strict=True)]
-        return _Suffixes(np.frombuffer(row["key"], f"S{4 * KEY_WORDS}"), np.frombuffer(row["role"], np.int8), np.frombuffer(row["ordinal"], np.int64), words)
+        """A stored one, which is in order."""
+        return _Suffixes(np.frombuffer(row["key"], f"S{4 * KEY_WORDS}"), np.frombuffer(row["role"], np.int8), np.frombuffer(row["ordinal"], np.int64), row["words"], np.frombuffer(row["lengths"], np.int32))
 
     def blobs(self) -> dict:
-        return {
-            "key": self.key.tobytes(), "role": self.role.tobytes(), "ordinal": self.ordinal.tobytes(),
-            "words": b"".join(self.words), "lengths": np.array([len(w) for w in self.words], np.int32).tobytes(),
-        }
+        return {"key": self.key.tobytes(), "role": self.role.tobytes(), "ordinal": self.ordinal.tobytes(), "words": self.words, "lengths": self.lengths.tobytes()}
+
+    def text(self, j: int) -> bytes:
+        return self.words[self.ends[j] - self.lengths[j] : self.ends[j]]
 
     def search(self, key: np.ndarray, role: np.ndarray, ordinal: np.ndarray, words: list[bytes], links: _Links) -> None:
         """Links of the queries to stored records that agree; records that are linked already are not compared again."""
@@ -320,7 +324,7 @@ class _Suffixes:
             mine, text, kind = int(ordinal[i]), words[i], role[i]
             for j in range(low[i], high[i]):
                 other = int(self.ordinal[j])
-                if self.role[j] == kind and abs(len(self.words[j]) - len(text)) <= 2 * EDITS and links.apart(mine, other) and covers(text, self.words[j]):
+                if self.role[j] == kind and abs(int(self.lengths[j]) - len(text)) <= 2 * EDITS and links.apart(mine, other) and covers(text, self.text(j)):
                     links.join(mine, other)
 
 
@@ -332,7 +336,7 @@ def _take_in(new: pa.Table, old: pa.Table) -> pa.Table:
         role, ordinal = (new[c].to_numpy() for c in ("role", "ordinal"))
         words = new["words"].to_pylist()
         stored = np.flatnonzero(new["stored"].to_numpy())
-        mine = _Suffixes(key[stored], role[stored], ordinal[stored], [words[i] for i in stored])
+        mine = _Suffixes.sorted(key[stored], role[stored], ordinal[stored], [words[i] for i in stored])
         links = _Links()
         for array in (mine, *map(_Suffixes.of, old.to_pylist())):
             array.search(key, role, ordinal, words, links)
@@ -347,10 +351,13 @@ def _take_in(new: pa.Table, old: pa.Table) -> pa.Table:
 
 def _merge(rows: pa.Table) -> pa.Table:
     parts = [_Suffixes.of(r) for r in rows.to_pylist()]
-    whole = _Suffixes(np.concatenate([p.key for p in parts]), np.concatenate([p.role for p in parts]), np.concatenate([p.ordinal for p in parts]), [w for p in parts for w in p.words])
+    whole = _Suffixes.sorted(np.concatenate([p.key for p in parts]), np.concatenate([p.role for p in parts]), np.concatenate([p.ordinal for p in parts]), [p.text(j) for p in parts for j in range(len(p.key))])
     return pa.Table.from_pylist([whole.blobs() | {"shard": rows["shard"][0].as_py()}], schema=_OUT)
 
 
+_KEYS_DDL = "h1 long, h2 long, first long"
+
+
 class History:
     """All that was accepted, under ``path`` in the shared folder, where nothing is rewritten in place.
 
@@ -360,16 +367,17 @@ class History:
 
     def __init__(self, spark: SparkSession, path: str | None = None, shards: int = 64):
         self.spark, self.path, self.shards = spark, (path or scratch(spark, "history")).rstrip("/"), shards
-        #: (level, path) of the parts of the suffix array, and the paths of keys and links by batch.
+        #: (level, path) of the parts of the suffix array and of the keys, and the paths of links by batch.
         self.parts: list[tuple[int, str]] = []
-        self.keys: list[str] = []
+        self.keys: list[tuple[int, str]] = []
         self.links: list[str] = []
         #: Hot substrings, with the batch from which on they are.
         self.hot: dict[int, int] = {}
         if known := read_text(spark, f"{self.path}/manifest.json"):
             m = json.loads(known)
-            self.shards, self.keys, self.links = m["shards"], m["keys"], m["links"]
+            self.shards, self.links = m["shards"], m["links"]
             self.parts = [(level, p) for level, p in m["parts"]]
+            self.keys = [(0, p) if isinstance(p, str) else (p[0], p[1]) for p in m["keys"]]
             self.hot = {int(h): b for h, b in m["hot"].items()}
 
     def _save(self) -> None:
@@ -380,19 +388,29 @@ class History:
         return self.spark.read.schema(ddl).parquet(*paths) if paths else self.spark.createDataFrame([], ddl)
 
     def _compact(self) -> list[str]:
-        """Merges parts of one level two by two; gives those that are no longer needed."""
-        self.parts.sort()
+        """Merges parts of one level two by two, keys too; gives those that are no longer needed."""
+
+        def suffixes(two: list[str]) -> DataFrame:
+            return self._read(two, _OUT_DDL).where("key is not null").groupBy("shard").applyInArrow(_merge, _OUT_DDL)
+
+        def keys(two: list[str]) -> DataFrame:
+            return self._read(two, _KEYS_DDL).groupBy("h1", "h2").agg(F.min("first").alias("first"))
+
+        return self._merged(self.parts, "part", suffixes) + self._merged(self.keys, "keys", keys)
+
+    def _merged(self, parts: list[tuple[int, str]], name: str, merge: Callable[[list[str]], DataFrame]) -> list[str]:
+        parts.sort()
         gone: list[str] = []
         i = 0
-        while i + 1 < len(self.parts):
-            (level, a), (other, b) = self.parts[i], self.parts[i + 1]
+        while i + 1 < len(parts):
+            (level, a), (other, b) = parts[i], parts[i + 1]
             if level != other:
                 i += 1
                 continue
-            to = f"{self.path}/part-{level + 1}-{len(self.links)}-{i}"
-            self._read([a, b], _OUT_DDL).where("key is not null").groupBy("shard").applyInArrow(_merge, _OUT_DDL).write.mode("overwrite").parquet(to)
-            self.parts[i : i + 2] = [(level + 1, to)]
-            self.parts.sort()
+            to = f"{self.path}/{name}-{level + 1}-{len(self.links)}-{i}"
+            merge([a, b]).write.mode("overwrite").parquet(to)
+            parts[i : i + 2] = [(level + 1, to)]
+            parts.sort()
             gone += [a, b]
             i = 0
         return gone
@@ -419,15 +437,15 @@ class History:
         kinds = [_hashes(kind, key).alias(key) for kind, key in enumerate(("id_key", "page_key", "summary_key"))]
         wide = cut(with_keys(rows).select("ordinal", *kinds), "keys")
         keyed = wide.select("ordinal", F.explode(F.array("id_key", "page_key", "summary_key")).alias("k")).where("k is not null").select("ordinal", "k.h1", "k.h2")
-        old = self._read(self.keys, "h1 long, h2 long, first long")
+        old = self._read([p for _, p in self.keys], _KEYS_DDL)
         least = keyed.groupBy("h1", "h2").agg(F.min("ordinal").alias("first"))
         if self.keys:
             known = old.groupBy("h1", "h2").agg(F.min("first").alias("known"))
             least = least.join(known, ["h1", "h2"], "left").select("h1", "h2", F.coalesce("known", "first").alias("first"))
-        to = f"{self.path}/keys-{n}"
+        to = f"{self.path}/keys-0-{n}"
         least.write.mode("overwrite").parquet(to)
-        self.keys.append(to)
-        equal = keyed.join(self._read([to], "h1 long, h2 long, first long"), ["h1", "h2"]).where("ordinal <> first").select(F.col("ordinal").alias("u"), F.col("first").alias("v")).distinct()
+        self.keys.append((0, to))
+        equal = keyed.join(self._read([to], _KEYS_DDL), ["h1", "h2"]).where("ordinal <> first").select(F.col("ordinal").alias("u"), F.col("first").alias("v")).distinct()
         # Near repeats.
         to = f"{self.path}/part-0-{n}"
         texts = rows.where(~is_blank(F.col("summary"))).select("ordinal", "summary")
@@ -452,7 +470,7 @@ class History:
         return found.select(F.col("root").alias("kept_ordinal"), F.col("u").alias("dup_ordinal"))
 
 
-def replay(archive: DataFrame, batches: int = 2) -> History:
+def replay(archive: DataFrame, batches: int = BATCHES) -> History:
     """Takes in a whole archive in so many batches of whole runs, in order of their clocks."""
     clocks = [r[0] for r in archive.select("first_seen_at").where("first_seen_at is not null").distinct().orderBy("first_seen_at").collect()]  # one row a run
     n = archive.count()

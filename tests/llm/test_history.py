@@ -149,3 +149,12 @@ def test_hot_substrings_lose_no_link(spark, monkeypatch, batches):
     assert h.hot and pairs(h.repeats()) == brute(rows)
     if batches > 1:
         assert any(h.hot.values())  # some became hot later
+
+
+def test_replay_merges_levels_of_suffixes_and_keys(spark):
+    rows = made(240, 6)
+    h = H.replay(frame(spark, rows))
+    assert len(h.links) == H.BATCHES
+    for parts in (h.parts, h.keys):
+        assert max(level for level, _ in parts) >= 2 and len(parts) <= 4
+    assert pairs(h.repeats()) == brute(rows)
