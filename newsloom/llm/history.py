@@ -176,26 +176,38 @@ def _lookups(codes: np.ndarray, s: np.ndarray, e: np.ndarray) -> _Lookups:
 
 
 _ENTRY = pa.schema([("shard", pa.int32()), ("stored", pa.bool_()), ("role", pa.int8()), ("key", pa.binary()), ("ordinal", pa.int64()), ("words", pa.binary())])
+#: The role of an entry that is a link already; its key is the ordinal of the other row.
+LINK = -1
 _ENTRY_DDL = "shard int, stored boolean, role byte, key binary, ordinal long, words binary"
 
 
-def _distinct(b: pa.RecordBatch) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """(ordinals, words as bytes, all codes, starts, ends) of the texts of a batch; of equal texts the first stands for all."""
+def _distinct(b: pa.RecordBatch) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ordinals, words as bytes, all codes, starts, ends) of the texts of a batch; of equal texts the first stands for all.
+
+    After these, ordinals of texts with equal words that are written otherwise, and of those that stand
+    for them: summary keys need not link such a pair. One row of each spelling, the others have its key.
+    """
     order = np.argsort(b["ordinal"].to_numpy(), kind="stable")
     codes, starts = word_codes(b["summary"].take(pa.array(order)))
     n = np.diff(starts)
     raw = codes.tobytes()
     words = [raw[2 * s : 2 * e] for s, e in zip(starts[:-1], starts[1:], strict=True)]
     first = np.zeros(len(n), bool)
-    first[list({w: i for i, w in reversed(list(enumerate(words)))}.values())] = True
+    stands = {w: i for i, w in reversed(list(enumerate(words)))}
+    first[list(stands.values())] = True
     rec = np.flatnonzero(first & (n >= 3))
-    return b["ordinal"].to_numpy()[order][rec], [words[r] for r in rec], codes, starts[:-1][rec], starts[1:][rec]
+    ordinal = b["ordinal"].to_numpy()[order]
+    spelling = b["summary"].take(pa.array(order)).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    other = np.zeros(len(n), bool)
+    other[np.unique(spelling, return_index=True)[1]] = True
+    other = np.flatnonzero(other & ~first & (n >= 3))
+    return ordinal[rec], [words[r] for r in rec], codes, starts[:-1][rec], starts[1:][rec], ordinal[other], ordinal[[stands[words[i]] for i in other]]
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the substrings of a sample, with how often each occurs."""
     for b in batches:
-        _, _, codes, s, e = _distinct(b)
+        _, _, codes, s, e, *_ = _distinct(b)
         h, n = np.unique(_lookups(codes, s, e).hash, return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
 
@@ -221,7 +233,10 @@ def _entries(shards: int, hot: np.ndarray, late: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ordinal, words, codes, s, e = _distinct(b)
+            ordinal, words, codes, s, e, same, stands = _distinct(b)
+            if len(same):
+                linked = [pa.array((same % shards).astype(np.int32)), pa.array(np.zeros(len(same), bool)), pa.array(np.full(len(same), LINK, np.int8))]
+                yield pa.RecordBatch.from_arrays([*linked, pa.array([int(v).to_bytes(8, "little", signed=True) for v in stands], pa.binary()), pa.array(same), pa.array([b""] * len(same), pa.binary())], schema=_ENTRY)
             found = _lookups(codes, s, e)
             is_hot = np.isin(found.hash, hot)
             cold = found.take(~is_hot | np.isin(found.hash, late))
@@ -331,6 +346,10 @@ class _Suffixes:
 def _take_in(new: pa.Table, old: pa.Table) -> pa.Table:
     """Links of a shard's new records with each other and with the stored ones; and the new part of the array."""
     rows = []
+    is_link = pc.equal(new["role"], LINK)
+    ready, new = new.filter(is_link), new.filter(pc.invert(is_link))
+    for shard, u, v in zip(*(ready[c].to_pylist() for c in ("shard", "ordinal", "key")), strict=True):
+        rows.append({"shard": shard, "u": u, "v": int.from_bytes(v, "little", signed=True)})
     if new.num_rows:
         key = np.frombuffer(b"".join(new["key"].to_pylist()), f"S{4 * KEY_WORDS}")
         role, ordinal = (new[c].to_numpy() for c in ("role", "ordinal"))
@@ -340,7 +359,7 @@ def _take_in(new: pa.Table, old: pa.Table) -> pa.Table:
         links = _Links()
         for array in (mine, *map(_Suffixes.of, old.to_pylist())):
             array.search(key, role, ordinal, words, links)
-        rows = [{"u": u, "v": v} for u, v in links.found]
+        rows += [{"u": u, "v": v} for u, v in links.found]
         if len(stored):
             rows.append(mine.blobs())
         shard = new["shard"][0].as_py()

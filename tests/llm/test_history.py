@@ -158,3 +158,13 @@ def test_replay_merges_levels_of_suffixes_and_keys(spark):
     for parts in (h.parts, h.keys):
         assert max(level for level, _ in parts) >= 2 and len(parts) <= 4
     assert pairs(h.repeats()) == brute(rows)
+
+
+@pytest.mark.parametrize("batches", [1, 2])
+def test_equal_words_in_other_spelling(spark, batches):
+    """Marks within words make other summary keys of the same words; in one Arrow batch or two, such rows are linked."""
+    texts = ["a well-known fact of long standing", "a wellknown fact of long standing", "A WELL-KNOWN fact of long standing!", "今天早上河水涨到最高", "今天早上，河水涨到最高", "quite another text of seven long words"]
+    clock = dt.datetime(2025, 10, 1, tzinfo=UTC)
+    rows = [(o, f"i{o}", f"https://a.example/{o}", s, clock + dt.timedelta(hours=o // 3)) for o, s in enumerate(texts)]
+    got = pairs(H.replay(frame(spark, rows).coalesce(1), batches).repeats())
+    assert got == {(0, 1), (0, 2), (3, 4)}
