@@ -25,10 +25,10 @@ def test_round_trip_and_waste(spark, separator):
     want = defaultdict(list)
     for r in df.collect():
         if r.text:
-            want[r.doc_id].append(count(r.text) + separator)
+            want[r.doc_id].append(count(r.text))
     got = defaultdict(list)
     for r in rows:
-        assert r.n_tokens == sum(p.n_tokens for p in r.parts) <= 512 and r.waste == 512 - r.n_tokens
+        assert r.n_tokens == sum(p.n_tokens for p in r.parts) + separator * (len(r.parts) - 1) <= 512 and r.waste == 512 - r.n_tokens
         for p in r.parts:
             got[p.doc_id].append((p.piece_no, p.first_token, p.n_tokens))
     for d, sizes in want.items():
@@ -62,5 +62,30 @@ def test_the_fullest_closes_first():
     assert closed == [8]
 
 
+@pytest.mark.parametrize("separator", [0, 1, 3])
+def test_a_text_of_exactly_the_capacity_is_one_sequence(spark, separator):
+    text = "word " * 700
+    n = tokenizer(DEFAULT).count(text)
+    df = spark.createDataFrame([(1, text), (2, text + text), (3, text + "word ")], "doc_id long, text string")
+    rows = {tuple((p.doc_id, p.piece_no, p.n_tokens) for p in r.parts): r.waste for r in P.packed(df, capacity=n, separator=separator).collect()}
+    assert rows[(1, 0, n),] == 0 and rows[(3, 0, n),] == 0
+    assert len(rows) in (4, 5) and sum(p[2] for parts in rows for p in parts) == n + sum(tokenizer(DEFAULT).count(t) for t in (text + text, text + "word "))
+
+
+def test_no_round_holds_more_than_its_open_bins(spark, monkeypatch):
+    """Many tasks leave many open bins; the rounds after the first are bounded too."""
+    most = []
+    put = P.Packer._put
+    monkeypatch.setattr(P.Packer, "_put", lambda self, parts, free: (put(self, parts, free), most.append(self.n))[0])
+    packer = P.Packer(512, 8, lambda parts, used: None)
+    rng = random.Random(3)
+    for i in range(4000):
+        packer.add([i], rng.randrange(1, 512))
+    assert max(most) <= 8
+    df = docs(spark, 2000).repartition(16)
+    numbers = [r.seq_no for r in P.packed(df, capacity=512, open_bins=8).collect()]
+    assert len(set(numbers)) == len(numbers)
+
+
 def test_empty(spark):
     assert P.packed(docs(spark, 1).limit(0)).count() == 0
