@@ -2,15 +2,19 @@
 
 The n-grams of the normalised test items are one hash set, which every task holds; the windows of
 the training tokens are looked up in it, and items that are hit often enough are verified by
-aligning the item with the text. The set is broadcast for a bounded block of items at a time, so a
-larger test set means more passes, never a larger broadcast.
+aligning the item with the text. The set is broadcast for a block of items of a bounded number of
+words at a time, so a test set beyond that means more passes, never a larger broadcast.
 
 An item leaks if one or two stretches of it, in its order, hold at least half of its words with at
-most one word in twelve altered. The number of n-grams that such a case leaves intact at the least
-follows from these numbers, so the search loses no case.
-
-Defined results: null and empty texts hold no leak; items of fewer than NGRAM words are not looked
-for; repeated documents each give rows; Han characters count as words.
+most one word in twelve altered; a stretch holds RUN words in a row. The longest run of words that
+such a case leaves intact, and the words that whole n-grams then cover, follow from these numbers
+by the length of the item; so does the length of its n-grams (five words of items of 27 words or
+more, four of 13, three of five), and the search loses no case: a second stretch without a whole
+n-gram is looked for in all of the text.
+
+Defined results: null and empty texts hold no leak; an item of fewer than WHOLE words leaks only
+as a whole, all its words in a row; repeated documents each give rows; Han characters count as
+words; offsets are characters of the raw text, also where lower case or entities change its length.
 """
 
 from __future__ import annotations
@@ -20,33 +24,42 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words of a looked-up n-gram.
+#: Words of a looked-up n-gram at most; shorter items have shorter ones.
 NGRAM = 5
+#: Words in a row that a stretch holds.
+RUN = 3
+#: Items of fewer words leak only as a whole.
+WHOLE = 5
 #: Share of an item's words that must stand in the text, and words of which one may be altered.
 SHARE, ALTERED = 0.5, 12
-#: Items whose n-grams are broadcast at a time.
-BLOCK_ITEMS = 2_000
+#: Words of the items that are broadcast at a time: about 60 bytes each.
+BLOCK_WORDS = 1_000_000
 #: Words that an alteration may span at most, in the item and in the text.
 GAP = 6
 #: Words before and behind an equal stretch in which shorter ones are looked for.
 ENDS = 2 * GAP
 
 _TOKEN = re.compile(r"[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
-_TAG = re.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->", re.S)
+# What normalising takes out of a text: tags and comments, and entities, with their semicolon or without.
+_MARKUP = re.compile(r"</?[A-Za-z][^<>]*>|<!--.*?-->|&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{1,31};?)", re.S)
+
+
+def _plain(m: re.Match) -> str:
+    return " " if m[0][0] == "<" else html.unescape(m[0])
 
 
 def normalise(text: str) -> str:
     """Tags as spaces, entities decoded, lower case."""
-    if "<" in text:
-        text = _TAG.sub(" ", text)
-    if "&" in text:
-        text = html.unescape(text)
+    if "<" in text or "&" in text:
+        text = _MARKUP.sub(_plain, text)
     return text.lower()
 
 
@@ -54,23 +67,57 @@ def tokens(text: str) -> list[str]:
     return _TOKEN.findall(normalise(text))
 
 
-def least_hits(n: int) -> int:
-    """Words of an item of n words that whole n-grams still cover in the least favourable leak."""
-    leaked = math.ceil(SHARE * n)
-    altered = leaked // ALTERED
-    return max(NGRAM, leaked - altered - (altered + 1) * (NGRAM - 1) - (NGRAM - 1))
+def places(text: str) -> list[tuple[int, int]]:
+    """Where in the raw text each token of ``tokens`` stands: the same steps, with the origin of every character."""
+    origin: list[tuple[int, int]] = []
+    at = 0
+    for m in _MARKUP.finditer(text):
+        origin += [(k, k + 1) for k in range(at, m.start())]
+        origin += [m.span()] * len(_plain(m))
+        at = m.end()
+    origin += [(k, k + 1) for k in range(at, len(text))]
+    raw = _MARKUP.sub(_plain, text)
+    low = raw.lower()
+    if len(low) != len(raw):
+        origin = [o for o, c in zip(origin, raw, strict=True) for _ in c.lower()]
+    return [(origin[m.start()][0], origin[m.end() - 1][1]) for m in _TOKEN.finditer(low)]
+
+
+class Need(NamedTuple):
+    """Of an item: words that must be covered, words of its n-grams, words that whole n-grams cover at least."""
+
+    words: int
+    gram: int
+    hits: int
+
+
+@cache
+def need(n: int) -> Need:
+    """What a leak of an item of n words is, and what the least favourable one leaves of its n-grams.
+
+    Of c covered words, c // ALTERED are altered; with the gap between the two stretches, if there can
+    be two, these part what is left into runs, of which one is as long as their mean.
+    """
+    if n < WHOLE:
+        return Need(n, n, n)
+    least = math.ceil(SHARE * n)
+    for gram in range(NGRAM, 0, -1):
+        cases = [(c - c // ALTERED, c // ALTERED + (2 if c >= 2 * RUN else 1)) for c in range(least, n + 1)]
+        if all(left > runs * (gram - 1) for left, runs in cases):
+            break
+    return Need(least, gram, max(gram, min(left - runs * (gram - 1) for left, runs in cases)))
 
 
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
 
 
-def _grams(ids: np.ndarray) -> np.ndarray:
-    """Hash of the n-gram that starts at each word."""
-    n = len(ids) - NGRAM + 1
+def _grams(ids: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the n-gram of ``size`` words that starts at each word."""
+    n = len(ids) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    h = np.zeros(n, np.uint64)
-    for i in range(NGRAM):
+    h = np.full(n, size, np.uint64)
+    for i in range(size):
         h = (h ^ ids[i : i + n]) * _MIX[i % len(_MIX)]
         h ^= h >> np.uint64(29)
     return h
@@ -81,42 +128,48 @@ class Index:
 
     BITS = 22
 
-    def __init__(self, items: list[tuple[int, str]]):
-        words = {i: tokens(t) for i, t in items}
+    def __init__(self, items: list[tuple[int, list[str]]]):
         self.vocabulary: dict[str, int] = {}
-        for w in words.values():
-            for x in w:
+        for _, words in items:
+            for x in words:
                 self.vocabulary.setdefault(x, len(self.vocabulary) + 1)
-        self.items = {i: np.array([self.vocabulary[x] for x in w], np.uint64) for i, w in words.items() if len(w) >= NGRAM}
-        self.where: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for i, ids in self.items.items():
-            for at, g in enumerate(_grams(ids).tolist()):
-                self.where[g].append((i, at))
-        self.bits = np.zeros(1 << self.BITS, bool)
-        if self.where:
-            self.bits[np.fromiter(self.where, np.uint64) >> np.uint64(64 - self.BITS)] = True
+        self.items = [(i, np.array([self.vocabulary[x] for x in words], np.uint64)) for i, words in items if words]
+        #: By size of n-gram: hashes in order, with item (by its place in the block) and word.
+        self.sorted: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        #: By size: which leading bits of a hash occur.
+        self.bits: dict[int, np.ndarray] = {}
+        parts: dict[int, list] = defaultdict(list)
+        for k, (_, ids) in enumerate(self.items):
+            size = need(len(ids)).gram
+            grams = _grams(ids, size)
+            parts[size].append((grams, np.full(len(grams), k, np.int32), np.arange(len(grams), dtype=np.int32)))
+        for size, found in parts.items():
+            grams, item, word = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(grams, kind="stable")
+            self.sorted[size] = grams[order], item[order], word[order]
+            self.bits[size] = np.zeros(1 << self.BITS, bool)
+            self.bits[size][grams >> np.uint64(64 - self.BITS)] = True
 
     def leaks(self, ids: np.ndarray) -> dict[int, list[tuple[int, int]]]:
         """The items that leaked into a text, each with its stretches (first and last word but one of the text)."""
-        grams = _grams(ids)
-        at = np.flatnonzero(self.bits[grams >> np.uint64(64 - self.BITS)])
-        if len(at) < 1:
-            return {}
         hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for p, g in zip(at.tolist(), grams[at].tolist(), strict=True):
-            for item, q in self.where.get(g, ()):
-                hits[item].append((p, q))
+        for size, (known, item, word) in self.sorted.items():
+            grams = _grams(ids, size)
+            at = np.flatnonzero(self.bits[size][grams >> np.uint64(64 - self.BITS)])
+            if not len(at):
+                continue
+            low, high = np.searchsorted(known, grams[at], "left"), np.searchsorted(known, grams[at], "right")
+            for p, a, z in zip(at.tolist(), low.tolist(), high.tolist(), strict=True):
+                for k in range(a, z):
+                    hits[int(item[k])].append((p, int(word[k])))
         found = {}
-        for item, pairs in hits.items():
-            words = self.items[item]
-            if len(pairs) + NGRAM - 1 < least_hits(len(words)):
-                # k distinct places cover at least k + NGRAM - 1 words only if they touch; spread out they cover more.
-                if len({q + d for _, q in pairs for d in range(NGRAM)}) < least_hits(len(words)):
-                    continue
-            elif len({q + d for q in {q for _, q in pairs} for d in range(NGRAM)}) < least_hits(len(words)):
+        for k, pairs in hits.items():
+            name, words = self.items[k]
+            wanted = need(len(words))
+            if len({q + d for q in {q for _, q in pairs} for d in range(wanted.gram)}) < wanted.hits:
                 continue
             if spans := aligned(words, ids, [p for p, _ in pairs]):
-                found[item] = spans
+                found[name] = spans
         return found
 
 
@@ -130,11 +183,11 @@ def _distance(a: np.ndarray, b: np.ndarray) -> int:
     return row[-1]
 
 
-def _blocks(item: np.ndarray, text: np.ndarray, hits: list[int], least: int = 3) -> list[tuple[int, int, int]]:
-    """(place in the item, place in the text, words) of equal stretches near the hits."""
+def _blocks(item: np.ndarray, text: np.ndarray, hits: list[int] | None) -> list[tuple[int, int, int]]:
+    """(place in the item, place in the text, words) of equal stretches near the hits, or in all of the text."""
     n = len(item)
-    windows: list[list[int]] = []
-    for p in sorted(set(hits)):
+    windows: list[list[int]] = [[0, len(text)]] if hits is None else []
+    for p in sorted(set(hits or ())):
         a, z = max(0, p - n), min(len(text), p + n)
         if windows and a <= windows[-1][1]:
             windows[-1][1] = z
@@ -159,7 +212,7 @@ def _blocks(item: np.ndarray, text: np.ndarray, hits: list[int], least: int = 3)
         new[1:] = (np.diff(i) != 1) | (np.diff(j) != 1)
         start = np.flatnonzero(new)
         length = np.diff(np.append(start, len(i)))
-        keep = length >= least
+        keep = length >= RUN
         blocks += zip(i[start[keep]].tolist(), (j[start[keep]] + a).tolist(), length[keep].tolist(), strict=True)
     return sorted(_with_ends(blocks, item, text), key=lambda b: (b[1], b[0]))
 
@@ -187,24 +240,29 @@ def aligned(item: np.ndarray, text: np.ndarray, hits: list[int]) -> list[tuple[i
 
     Equal blocks are chained in order; a step over at most GAP words costs the words altered in
     between, one longer step opens the second stretch. Of all chains with equal cost the one that
-    covers most is kept at each block.
+    covers most is kept at each block. Only if the blocks near the hits are too few, all blocks count.
     """
     n = len(item)
-    need = math.ceil(SHARE * n)
+    wanted = need(n)
+    if n < WHOLE:
+        at = next((p for p in sorted(set(hits)) if np.array_equal(text[p : p + n], item)), None)
+        return [] if at is None else [(at, at + n)]
+    return _chained(_blocks(item, text, hits), item, text, wanted) or _chained(_blocks(item, text, None), item, text, wanted)
+
+
+def _chained(blocks: list[tuple[int, int, int]], item: np.ndarray, text: np.ndarray, wanted: Need) -> list[tuple[int, int]]:
+    n = len(item)
     most = n // ALTERED
-    blocks = _blocks(item, text, hits)
-    if not blocks:
-        return []
-    # best[k][(second, altered)] = (covered words, spans)
-    best: list[dict[tuple[int, int], tuple[int, tuple]]] = []
+    # best[k][(stretch 0 or 1, whether it holds RUN words in a row, altered)] = (covered words, spans)
+    best: list[dict[tuple[int, bool, int], tuple[int, tuple]]] = []
     done: list[tuple[int, int, int, int, tuple]] = []  # ends of first stretches: item end, text end, altered, covered, spans
     ends = [(i + m, j + m) for i, j, m in blocks]
     winner: tuple[int, tuple] | None = None
     for k, (i, j, m) in enumerate(blocks):
-        state: dict[tuple[int, int], tuple[int, tuple]] = {(0, 0): (m, ((j, j + m),))}
+        state: dict[tuple[int, bool, int], tuple[int, tuple]] = {(0, m >= RUN, 0): (m, ((j, j + m),))}
 
-        def put(key: tuple[int, int], covered: int, spans: tuple, state=state) -> None:
-            if key[1] <= most and (key not in state or state[key][0] < covered):
+        def put(key: tuple[int, bool, int], covered: int, spans: tuple, state=state) -> None:
+            if key[2] <= most and (key not in state or state[key][0] < covered):
                 state[key] = (covered, spans)
 
         for h in range(k - 1, -1, -1):
@@ -216,17 +274,19 @@ def aligned(item: np.ndarray, text: np.ndarray, hits: list[int]) -> list[tuple[i
             if cut >= m or gi + cut > GAP or gj + cut > GAP or blocks[h][0] >= i or blocks[h][1] >= j:
                 continue
             cost = _distance(item[ie : i + cut], text[je : j + cut])
-            for (second, altered), (covered, spans) in best[h].items():
-                put((second, altered + cost), covered + gi + m, (*spans[:-1], (spans[-1][0], j + m)))
+            for (second, whole, altered), (covered, spans) in best[h].items():
+                put((second, whole or m - cut >= RUN, altered + cost), covered + gi + m, (*spans[:-1], (spans[-1][0], j + m)))
         for ie, je, altered, covered, spans in done:
             if je <= j and ie - i < m:
                 over = max(0, ie - i)
-                put((1, altered), covered + m - over, (*spans, (j + over, j + m)))
+                put((1, m - over >= RUN, altered), covered + m - over, (*spans, (j + over, j + m)))
         best.append(state)
-        for (second, altered), (covered, spans) in state.items():
-            if covered >= need and altered * ALTERED <= covered and (winner is None or covered > winner[0]):
+        for (second, whole, altered), (covered, spans) in state.items():
+            if not whole:
+                continue
+            if covered >= wanted.words and altered * ALTERED <= covered and (winner is None or covered > winner[0]):
                 winner = (covered, spans)
-            if not second and covered >= NGRAM:
+            if not second:
                 done.append((i + m, j + m, altered, covered, spans))
         if len(done) > 64:  # of ends that another one dominates only the other can be part of a best chain
             done = _undominated(done)
@@ -242,36 +302,18 @@ def _undominated(done: list) -> list:
     return kept
 
 
-def _offsets(text: str) -> list[tuple[int, int]]:
-    """Where in the raw text each token stands."""
-    out: list[str] = []
-    place: list[int] = []
-    at = 0
-    for m in re.finditer(rf"{_TAG.pattern}|&(?:#\d+|#[xX][0-9a-fA-F]+|\w+);", text, re.S):
-        for k in range(at, m.start()):
-            out.append(text[k])
-            place.append(k)
-        for c in " " if m[0][0] == "<" else html.unescape(m[0]):
-            out.append(c)
-            place.append(m.start())
-        at = m.end()
-    for k in range(at, len(text)):
-        out.append(text[k])
-        place.append(k)
-    low = "".join(c if len(c.lower()) != 1 else c.lower() for c in out)
-    place.append(len(text))
-    return [(place[m.start()], place[m.end() - 1] + 1) for m in _TOKEN.finditer(low)]
-
-
 def _blocks_of(items: DataFrame) -> Iterator[Index]:
-    """The test set, a bounded block of items at a time."""
+    """The test set, a block of a bounded number of words at a time."""
     rows = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text").orderBy("item_id").toLocalIterator()
-    block: list[tuple[int, str]] = []
+    block: list[tuple[int, list[str]]] = []
+    n = 0
     for r in rows:
-        block.append((r[0], r[1]))
-        if len(block) == BLOCK_ITEMS:
+        words = tokens(r[1])
+        if block and n + len(words) > BLOCK_WORDS:
             yield Index(block)
-            block = []
+            block, n = [], 0
+        block.append((r[0], words))
+        n += len(words)
     yield Index(block)
 
 
@@ -291,8 +333,8 @@ def leaks(documents: DataFrame, items: DataFrame) -> DataFrame:
                     ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
                     found = index.leaks(ids)
                     if found:
-                        place = _offsets(text)
-                        rows += [(doc_id, item, [{"first": place[a][0], "last": place[z - 1][1]} for a, z in spans]) for item, spans in found.items() if len(place) >= len(words)]
+                        place = places(text)
+                        rows += [(doc_id, item, [{"first": place[a][0], "last": place[z - 1][1]} for a, z in spans]) for item, spans in found.items()]
                 yield pd.DataFrame(rows, columns=["doc_id", "item_id", "spans"])
 
         part = documents.where(F.length("text") > 0).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, item_id long, spans array<struct<first:int,last:int>>")

@@ -49,7 +49,7 @@ def cases():
 
 @pytest.mark.parametrize(("name", "text", "leak"), list(cases()), ids=lambda x: x if isinstance(x, str) and len(x) < 40 else "")
 def test_case(name, text, leak):
-    index = L.Index([(i, " ".join(w)) for i, w in ITEMS.items()])
+    index = L.Index(list(ITEMS.items()))
     import numpy as np
 
     words = L.tokens(around(text))
@@ -75,7 +75,7 @@ def test_random_plants_are_found(seed):
         if k not in (a - 1, a):
             both[k] = "zzz"
     text = " ".join(both[:a]) + " " + " ".join(passage(30, rng)) + " " + " ".join(both[a:])
-    index = L.Index([(i, " ".join(x)) for i, x in ITEMS.items()])
+    index = L.Index(list(ITEMS.items()))
     ids = np.array([index.vocabulary.get(x, 0) for x in L.tokens(around(text, rng))], np.uint64)
     assert 2 in index.leaks(ids)
 
@@ -98,7 +98,72 @@ def test_frames(spark):
 
 
 def test_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(L, "BLOCK_ITEMS", 3)
+    monkeypatch.setattr(L, "BLOCK_WORDS", 300)
     items = spark.createDataFrame([(i, " ".join(w)) for i, w in ITEMS.items()], "item_id long, text string")
     docs = spark.createDataFrame([(i, around(" ".join(w))) for i, w in ITEMS.items()], "doc_id long, text string")
     assert sorted((r.doc_id, r.item_id) for r in L.leaks(docs, items).collect()) == [(i, i) for i in ITEMS]
+
+
+def found(item, text):
+    import numpy as np
+
+    index = L.Index([(1, item)])
+    words = L.tokens(text)
+    return bool(index.leaks(np.array([index.vocabulary.get(x, 0) for x in words], np.uint64)))
+
+
+@pytest.mark.parametrize(("n", "stretches", "leak"), [
+    (16, ((0, 4), (8, 12)), True), (16, ((0, 4), (8, 11)), False), (16, ((2, 10),), True), (16, ((2, 9),), False), (24, ((0, 4), (10, 18)), True),
+    (11, ((0, 3), (6, 9)), True), (11, ((0, 3), (6, 8)), False), (9, ((2, 7),), True), (8, ((4, 8),), True), (6, ((1, 4),), True), (6, ((1, 3),), False), (5, ((0, 3),), True), (4, ((0, 4),), True), (4, ((0, 3),), False), (1, ((0, 1),), True),
+])
+def test_short_items(n, stretches, leak):
+    item = [f"s{k}" for k in range(n)]
+    text = around((" " + " ".join(passage(20)) + " ").join(" ".join(item[a:z]) for a, z in stretches))
+    assert found(item, text) == leak
+
+
+def test_short_item_with_an_altered_word_in_its_second_stretch():
+    item = [f"s{k}" for k in range(24)]
+    text = " ".join(item[:4]) + " " + " ".join(passage(20)) + " " + " ".join([*item[8:12], "zzz", *item[13:16]])
+    assert found(item, around(text))
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_no_leak_of_an_item_of_any_length_is_lost(seed):
+    """Random splits at the very limits, of items of 5 to 40 words: one or two stretches, one covered word in twelve altered."""
+    rng = random.Random(100 + seed)
+    for n in range(5, 41):
+        item = [f"s{k}" for k in range(n)]
+        want = L.need(n)
+        covered = rng.randrange(want.words, n + 1)
+        both = list(range(covered))
+        first = rng.randrange(L.RUN, covered - L.RUN + 1) if covered >= 2 * L.RUN and rng.random() < 0.8 else covered
+        start = rng.randrange(n - covered + 1)
+        gap = rng.randrange(n - covered - start + 1) if first < covered else 0
+        words = [item[start + k + (gap if k >= first else 0)] for k in both]
+        inner = [k for k in both if k not in (0, first - 1, first, covered - 1)]
+        for k in rng.sample(inner, min(len(inner), covered // L.ALTERED)):
+            words[k] = "zzz"
+        runs = [max((len(r.split()) for r in " ".join(part).split("zzz")), default=0) for part in (words[:first], words[first:]) if part]
+        if min(runs) < L.RUN:  # not a stretch
+            continue
+        text = " ".join(words[:first]) + " " + " ".join(passage(rng.choice((1, 25, 300)), rng)) + " " + " ".join(words[first:])
+        assert found(item, around(text, rng)), (n, covered, first, start, gap)
+
+
+def test_places_are_those_of_the_tokens():
+    for text in ("İstanbul'da İĞÜŞ ve ΑΣ", "caf&eacute and na&iumlve caf&eacute;s &amp;c &notanentity; &#233;t&#xe9 x", "a<b>c</b>d <!-- no --> e &lt;f&gt; g", "ß ŉ ǆ ẞ \u0130\u0130 end", "", "<p"):
+        at = L.places(text)
+        words = L.tokens(text)
+        assert len(at) == len(words)
+        for (a, z), w in zip(at, words, strict=True):
+            assert "".join(L.tokens(text[a:z])) == w or w in L.normalise(text[max(0, a - 1) : z + 1])
+
+
+def test_leaks_in_texts_whose_lower_case_is_longer(spark):
+    text = "İ İstanbul " + around(" ".join(ITEMS[3])) + " caf&eacute end"
+    docs = spark.createDataFrame([(1, text), (2, "na&iumlve &copy 2020 " + " ".join(ITEMS[4]) + " tail &eacute x")], "doc_id long, text string")
+    items = spark.createDataFrame([(i, " ".join(w)) for i, w in ITEMS.items()], "item_id long, text string")
+    spans = {r.doc_id: (r.item_id, r.spans) for r in L.leaks(docs, items).collect()}
+    assert spans[1][0] == 3 and text[spans[1][1][0].first : spans[1][1][0].last] == " ".join(ITEMS[3])
+    assert {r.doc_id: r.text for r in L.cleaned(docs, items, drop_share=1.0).collect()}[2] == "na&iumlve &copy 2020  tail &eacute x"
