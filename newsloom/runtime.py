@@ -33,7 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests on one machine) a temporary folder is made and set.
+    Only where that is unset and the master is local (tests on one machine) a temporary folder is
+    made and set; a cluster without it is an error, since no folder of one machine is shared.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -42,6 +43,8 @@ def shared_root(spark: SparkSession) -> str:
     known = sc.getCheckpointDir()
     if known:
         return known.rsplit("/", 1)[0]
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     root = "file://" + tempfile.mkdtemp(prefix="newsloom-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir().rsplit("/", 1)[0]
@@ -73,6 +76,18 @@ def _file(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _file(spark, path)
+    return fs.exists(at)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    fs, at = _file(spark, path)
+    _, there = _file(spark, to)
+    if not fs.rename(at, there):
+        raise OSError(f"could not move {path} to {to}")
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder of the shared storage; none if there is no such folder."""
     fs, at = _file(spark, path)
@@ -99,6 +114,37 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not move {path}.new")
 
 
+def write_state(spark: SparkSession, path: str, text: str, number: int) -> None:
+    """Puts a small numbered file ``path-N`` beside the older ones, whole or not at all; all but the one before it are removed.
+
+    Nothing is deleted before the new file is in place, so there is always a complete one.
+    """
+    folder, _, name = path.rpartition("/")
+    fs, new = _file(spark, f"{folder}/.{name}-{number}.new")
+    out = fs.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    _, at = _file(spark, f"{path}-{number}")
+    if fs.exists(at):  # the same step done again
+        fs.delete(at, False)
+    if not fs.rename(new, at):
+        raise OSError(f"could not move {path}-{number}.new")
+    for old in _numbers(spark, path):
+        if old < number - 1:
+            remove(spark, f"{path}-{old}")
+
+
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    folder, _, name = path.rpartition("/")
+    return [int(n.removeprefix(f"{name}-")) for n in names(spark, folder) if n.startswith(f"{name}-") and n.removeprefix(f"{name}-").isdigit()]
+
+
+def read_state(spark: SparkSession, path: str) -> str | None:
+    """The text of the largest of the files ``path-N``, or null if there is none."""
+    known = _numbers(spark, path)
+    return read_text(spark, f"{path}-{max(known)}") if known else None
+
+
 #: Rows up to which a side table may be broadcast; beyond it the join stays a shuffled one.
 BROADCAST_ROWS = 100_000
 

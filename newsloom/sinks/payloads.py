@@ -11,23 +11,36 @@ from newsloom.functions.times import at, iso
 from newsloom.functions.titles import redact_all
 from newsloom.operators import items as repeats
 from newsloom.operators import stats, stories
-from newsloom.runtime import remove
+from newsloom.runtime import exists, move, remove
 
 
 def swap_in(df: DataFrame, path: str, kind: str = "json") -> None:
-    """Writes ``df`` as a folder; the old one stays until the new one is complete, so it may be read by ``df``."""
+    """Writes ``df`` as a folder; the old one stays until the new one is complete, so it may be read by ``df``.
+
+    Between the two moves the old payload lies under ``path.old``; ``payload`` finds it there, and the
+    next swap puts it back, so that a stop at any point loses neither.
+    """
     spark = df.sparkSession
+    _recover(spark, path)
     redact_all(df).write.mode("overwrite").format(kind).save(f"{path}.new")
-    _rename(spark, f"{path}.new", path)
+    if exists(spark, path):
+        move(spark, path, f"{path}.old")
+    move(spark, f"{path}.new", path)
+    remove(spark, f"{path}.old")
+
+
+def _recover(spark: SparkSession, path: str) -> None:
+    if exists(spark, f"{path}.old"):
+        if exists(spark, path):
+            remove(spark, f"{path}.old")
+        else:
+            move(spark, f"{path}.old", path)
 
 
-def _rename(spark: SparkSession, new: str, path: str) -> None:
-    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
-    a, b = jvm.Path(new), jvm.Path(path)
-    fs = b.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    remove(spark, path)
-    if not fs.rename(a, b):
-        raise OSError(f"could not move {new} to {path}")
+def payload(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    """What was last swapped in."""
+    _recover(spark, path)
+    return spark.read.format(kind).load(path)
 
 
 def _as_text(df: DataFrame) -> DataFrame:

@@ -60,13 +60,16 @@ def upsert_stream(raw: DataFrame, table: ArchiveTable, checkpoint: str, clock: C
 
 
 def late_stream(log: DataFrame, view: LambdaView, checkpoint: str, every: int = 4, once: bool = True) -> StreamingQuery:
-    """Each micro-batch goes to the fast layer; every few the batch layer recomputes, by the batch's own latest clock."""
+    """Each micro-batch goes to the fast layer; every few the batch layer recomputes, by the batch's own latest clock.
+
+    The run has the micro-batch's number, so one that is run again after a failure is taken in once.
+    """
 
     def step(batch: DataFrame, number: int) -> None:
         clock = batch.agg(F.max("first_seen_at")).first()[0]
         if clock is None:
             return
-        view.ingest(batch)
+        view.ingest(batch, number)
         if number % every == every - 1:
             view.recompute(clock.replace(tzinfo=dt.timezone.utc))
 
