@@ -45,7 +45,7 @@ def mostly_english(s: Column) -> Column:
     """Not blank, without Han, and Latin letters make up a quarter, six at least."""
     t = strip(F.coalesce(s, F.lit("")))
     n = F.length(F.regexp_replace(t, "[^A-Za-z]", ""))
-    return (t != "") & ~has_han(t) & (n >= F.greatest(F.lit(6), F.expr("1") * F.floor(F.length(t) / 4)))
+    return (t != "") & ~has_han(t) & (n >= F.greatest(F.lit(6), F.floor(F.length(t) / 4)))
 
 
 def clip(text: Column, limit: int = 96) -> Column:

@@ -11,16 +11,19 @@ from __future__ import annotations
 import datetime as dt
 import json
 import re
+import time
 import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterable, Iterator
-from urllib.parse import urljoin, urlsplit
+from urllib.parse import parse_qsl, urlencode, urljoin, urlsplit, urlunsplit
 
 import pandas as pd
 from dateutil import parser as lenient
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.sources.html import tree
+from newsloom.functions.urls import CAMPAIGN_KEYS, CAMPAIGN_PREFIX
+from newsloom.runtime import cut
+from newsloom.sources.html import Node, tree
 
 UTC = dt.timezone.utc
 #: Days that an official source's items may be old.
@@ -224,23 +227,66 @@ def generic_anchor(title: str) -> bool:
     return not title.strip() or title.strip().lower() in PLACEHOLDERS or bool(re.search(r"\(AI资讯\)\s*$", title))
 
 
+# The date in an issue's heading, and what a daily page links that is no item.
+_ISSUE_DATE = re.compile(r"AI资讯日报\s*(?:(\d{4})/(\d{1,2})/(\d{1,2})|(\d{4})-(\d{1,2})-(\d{1,2}))")
+NO_ITEM_TITLES, NO_ITEM_HOSTS = ("自媒体账号",), ("source.hubtoday.app",)
+
+
+def page_of(url: str) -> str:
+    """The normalized url, as ``functions.urls.normalize_url`` has it for columns."""
+    try:
+        u = urlsplit(url.strip())
+        if not u.scheme:
+            return url.strip()
+        kept = [(k, v) for k, v in parse_qsl(u.query, keep_blank_values=True) if not k.lower().startswith(CAMPAIGN_PREFIX) and k.lower() not in CAMPAIGN_KEYS]
+        return urlunsplit((u.scheme.lower(), u.netloc.lower(), u.path, urlencode(kept), "")).rstrip("/")
+    except ValueError:
+        return url.strip()
+
+
+def _bold_beside(a: Node) -> str:
+    """The bold text of the paragraph that a link stands in."""
+    n = a.parent
+    while n is not None and n.tag != "p":
+        n = n.parent
+    strong = n.find("strong") if n is not None else None
+    return strong.text() if strong else ""
+
+
 def daily_page(text: str, now: dt.datetime, base: str = "") -> list[Record]:
-    """Items of one issue: all get the issue's date; a generic link text gives way to the bold text beside it."""
+    """Items of one issue, all with the issue's date: bold list entries, then links of the content, then of the article.
+
+    A generic link text gives way to the bold text beside it; a page counts once, by its first item;
+    only if the articles have none, links anywhere on the page count.
+    """
     root = tree(text)
-    page = root.text()
-    date = re.search(r"(20\d{2})[-/年.](\d{1,2})[-/月.](\d{1,2})", page)
-    issue = when("-".join(date.groups()), now) if date else None
-    out = []
-    for scope in ("article", "main", "body"):
-        for box in root.find_all(scope):
-            for a in box.find_all("a", href=None):
-                url, title = urljoin(base, a.attrs["href"]), a.text()
-                if generic_anchor(title):
-                    strong = a.parent and a.parent.find("strong")
-                    title = strong.text() if strong else title
-                if url.startswith("http") and len(title) >= 5 and not generic_anchor(title):
-                    out.append({"title": title, "url": url, "published_at": issue})
-    return _first(out, "url")
+    date = _ISSUE_DATE.search(root.text())
+    issue = when("-".join(g for g in date.groups() if g), now) if date else None
+    out: dict[str, Record] = {}
+
+    def add(title: str, url: str, source: str, bold: str = "") -> None:
+        if generic_anchor(title) and bold:
+            title = bold
+        if len(title) >= 5 and url.startswith("http") and title not in NO_ITEM_TITLES and not any(h in url for h in NO_ITEM_HOSTS) and not generic_anchor(title):
+            out.setdefault(page_of(url), {"title": title, "url": url, "source": source, "published_at": issue})
+
+    def linked(box: Node) -> Iterator[Node]:
+        return (a for a in box.find_all("a", href=None) if a.attrs["href"].startswith("http"))
+
+    articles = list(root.find_all("article"))
+    contents = [c for a in articles for c in a.find_all(cls="content")]
+    for p in (p for c in contents for li in c.find_all("li") for p in li.find_all("p")):
+        first, strong = next(linked(p), None), p.find("strong")
+        if first is not None:
+            add(strong.text() if strong else "", first.attrs["href"].strip(), "Daily Digest")
+    for a in (a for c in contents for a in c.find_all("a", target="_blank")):
+        add(a.text(), a.attrs.get("href", "").strip(), "Daily Digest", _bold_beside(a))
+    for a in (a for box in articles for a in linked(box)):
+        add(a.text(), a.attrs["href"].strip(), "Daily Digest", _bold_beside(a))
+    if not out:
+        for a in linked(root):
+            add(a.text(), a.attrs["href"].strip(), "Page Fallback", _bold_beside(a))
+    return list(out.values())
 
 
 def heading_links(text: str, now: dt.datetime, base: str = "") -> list[Record]:
@@ -296,22 +342,36 @@ def newsletter_api(pages: Iterable[str], now: dt.datetime, base: str, most: int
     return _first(out, "url")
 
 
+def newsletter_page(text: str, now: dt.datetime, base: str = "") -> list[Record]:
+    """Issues linked on a page: what stands in for the API where that gives none. Titles of eight characters or more."""
+    out = []
+    for a in tree(text).find_all("a", href=None):
+        clock = a.find("time")
+        if "/newsletter" in a.attrs["href"] and len(a.text()) >= 8:
+            out.append({"title": a.text(), "url": urljoin(base, a.attrs["href"].strip()), "published_at": when(clock.attrs.get("datetime") or clock.text(), now) if clock else None})
+    return _first(out, "url")
+
+
 def aggregated(text: str, now: dt.datetime) -> list[Record]:
-    """Items of many sources in one answer; the label is title and id, the date the first there is."""
+    """Items of many sources in one answer, or of one source in its own; the label is title and id, the date the first there is."""
     out = []
-    for block in _json_or(text, {}).get("data") or []:
-        label = f"{_filled(block.get('title'), block.get('name'), block.get('id'))} ({_filled(block.get('id'))})"
+    answer = _json_or(text, [])
+    blocks = answer.get("data", answer) if isinstance(answer, dict) else answer
+    for block in [blocks] if isinstance(blocks, dict) else blocks if isinstance(blocks, list) else []:
+        name = _filled(block.get("id")) or "unknown"
+        title = _filled(block.get("title"), block.get("name"), block.get("desc"), name)
         for i in block.get("items") or []:
-            title, url = _filled(i.get("title")), _filled(i.get("url"))
-            if title and url:
-                dates = (i.get("pubDate"), (i.get("extra") or {}).get("date"), block.get("updatedTime"))
-                out.append({"title": title, "url": url, "source": label, "published_at": next((t for d in dates if (t := when(d, now))), now)})
+            head, url = _filled(i.get("title")), _filled(i.get("url"))
+            if head and url:
+                extra = i.get("extra") if isinstance(i.get("extra"), dict) else {}
+                dates = (i.get("pubDate"), extra.get("date"), block.get("updatedTime"))
+                out.append({"title": head, "url": url, "source": name if title == name else f"{title} ({name})", "published_at": next((t for d in dates if (t := when(d, now))), now)})
     return out
 
 
 # Source ids when the script names none, and keys in it that are no ids.
 DEFAULT_SOURCES = ("hackernews", "producthunt", "github", "sspai", "juejin", "36kr")
-NO_SOURCES = frozenset("name column home https color interval title type redirect desc".split())
+NO_SOURCES = ("name", "column", "home", "https", "color", "interval", "title", "type", "redirect", "desc")
 
 
 def balanced(text: str, start: int) -> str | None:
@@ -340,6 +400,12 @@ def feed_links(script: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"https?://[^\s\"',\]]+", m[1]))) if m else []
 
 
+def named_feeds(script: str) -> list[tuple[str, str]]:
+    """(name, url) of the feeds that a page's script lists in ``const feeds = [...]``."""
+    m = re.search(r"const\s+feeds\s*=\s*\[(.*?)\]\s*;", script, re.S)
+    return re.findall(r"\{\s*name:\s*'([^']+)'\s*,\s*url:\s*'([^']+)'\s*\}", m[1]) if m else []
+
+
 def flight(text: str) -> str:
     """The chunks that a page pushes to its own script, decoded and joined."""
     chunks = re.findall(r'self\.__next_f\.push\(\[1,\s*("(?:\\.|[^"\\])*")\]\)', text, re.S)
@@ -374,6 +440,7 @@ Parser = Callable[[str, dt.datetime], list[Record]]
 PARSERS: dict[str, Parser] = {
     "xml": xml_feed, "official": official_feed, "telegram": channel_page, "jike": post_page, "publishers": publisher_page, "news": news_page,
     "changelog": changelog_page, "daily": daily_page, "headings": heading_links, "markdown": markdown_newsletter, "json": json_feed, "hot": hot_list, "aggregated": aggregated,
+    "newsletter": lambda text, now: newsletter_api([text], now, ""), "newsletter_page": newsletter_page,
 }
 #: Kinds whose items need a date.
 DATED = ("xml", "telegram", "jike")
@@ -382,16 +449,23 @@ _SCAN = "site_id string, site_name string, source string, kind string, doc_no lo
 
 
 def scan(documents: DataFrame, now: dt.datetime, parsers: dict[str, Parser] | None = None) -> DataFrame:
-    """Items of fetched documents (doc_no, kind, site_id, site_name, source, body), and one row with item_no -1 for each document's outcome."""
+    """Items of fetched documents (doc_no, kind, site_id, site_name, source, body), and one row with item_no -1 for each document's outcome.
+
+    Two columns more may be there: ``error`` of a fetch that failed, which is the outcome then, and
+    ``keywords`` (array of string), of which an item of an official feed must name one.
+    """
     table = PARSERS | (parsers or {})
+    more = [c for c in ("error", "keywords") if c in documents.columns]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for d in b.itertuples(index=False):
-                error, items = None, []
+                error, items = getattr(d, "error", None), []
+                words = getattr(d, "keywords", None)
                 try:
-                    items = table[d.kind](d.body or "", now)
+                    if error is None:
+                        items = official_feed(d.body or "", now, tuple(words)) if d.kind == "official" and words is not None else table[d.kind](d.body or "", now)
                     if d.kind in DATED:
                         items = [i for i in items if i["published_at"] is not None]
                 except Exception as e:  # noqa: BLE001  one bad document must not fail the scan
@@ -402,7 +476,7 @@ def scan(documents: DataFrame, now: dt.datetime, parsers: dict[str, Parser] | No
                 rows.append((*base, d.source, d.kind, d.doc_no, -1, None, None, None, len(items), error))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SCAN.split(", ")]).astype({"n_items": "Int32"})
 
-    return documents.select("doc_no", "kind", "site_id", "site_name", "source", "body").mapInPandas(run, _SCAN)
+    return documents.select("doc_no", "kind", "site_id", "site_name", "source", "body", *more).mapInPandas(run, _SCAN)
 
 
 def items(scanned: DataFrame) -> DataFrame:
@@ -417,25 +491,42 @@ def statuses(scanned: DataFrame) -> DataFrame:
     return scanned.where("item_no < 0").select("doc_no", "site_id", "site_name", "source", "kind", F.col("error").isNull().alias("ok"), "n_items", "error")
 
 
-def fetched(feeds: DataFrame, fetch: Callable[[str], str], tries: int = 3) -> DataFrame:
-    """doc_no, kind, site_id, site_name, source, body, error of (doc_no, kind, site_id, site_name, source, url): each url read in its task."""
-    schema = "doc_no long, kind string, site_id string, site_name string, source string, body string, error string"
+#: Status codes after which a fetch is tried again; an error without a code is, too.
+RETRIED = (429, 500, 502, 503, 504)
+
+
+def fetched(feeds: DataFrame, fetch: Callable[[str], str], tries: int = 3, wait: float = 0.8) -> DataFrame:
+    """doc_no, kind, site_id, site_name, source, body, error, duration_ms of (doc_no, kind, site_id, site_name, source, url): each url read in its task.
+
+    A fetch that fails is tried again after a pause that doubles, unless its error carries a status
+    code (``code`` or ``status``) that is not one of RETRIED. Other columns are kept.
+    """
+    kept = [f for f in feeds.schema.fields if f.name != "url"]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "body string", "error string", "duration_ms long"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
-            for d in b.itertuples(index=False):
+            bodies, errors, durations = [], [], []
+            for url in b["url"]:
                 body = error = None
-                for _ in range(tries):
+                began = time.monotonic()
+                for k in range(tries):
+                    if k:
+                        time.sleep(wait * 2 ** (k - 1))
                     try:
-                        body, error = fetch(d.url), None
+                        body, error = fetch(url), None
                         break
                     except Exception as e:  # noqa: BLE001
                         error = f"{type(e).__name__}: {e}"[:200]
-                rows.append((d.doc_no, d.kind, d.site_id, d.site_name, d.source, body, error))
-            yield pd.DataFrame(rows, columns=["doc_no", "kind", "site_id", "site_name", "source", "body", "error"])
+                        code = getattr(e, "code", getattr(e, "status", None))
+                        if code is not None and code not in RETRIED:
+                            break
+                bodies.append(body)
+                errors.append(error)
+                durations.append(int((time.monotonic() - began) * 1000))
+            yield b[[f.name for f in kept]].assign(body=pd.Series(bodies, b.index, dtype=object), error=pd.Series(errors, b.index, dtype=object), duration_ms=durations)
 
-    return feeds.select("doc_no", "kind", "site_id", "site_name", "source", "url").mapInPandas(run, schema)
+    return feeds.mapInPandas(run, schema)
 
 
 def union(*parts: DataFrame) -> DataFrame:
@@ -451,7 +542,7 @@ def collect(adapters: dict[str, Callable[[], DataFrame]]) -> tuple[DataFrame | N
     parts, found = [], []
     for name, make in adapters.items():
         try:
-            part = make().cache()
+            part = cut(make(), "adapter")
             n = part.count()
         except Exception as e:  # noqa: BLE001  one adapter must not take the others down
             found.append({"site_id": name, "ok": False, "n_items": 0, "error": f"{type(e).__name__}: {e}"[:200]})

@@ -143,3 +143,70 @@ def test_collect(spark):
 
 def test_decode_escaped():
     assert S.decode_escaped('{\\"a\\":1}') == {"a": 1} and S.decode_escaped('{"a":1}') == {"a": 1} and S.decode_escaped("no") is None
+
+
+SITE = {
+    "https://a.example/rss": "<rss><channel><item><title>One</title><link>https://a.example/1</link><pubDate>Wed, 05 Nov 2025 10:00:00 GMT</pubDate></item><item><title>No date</title><link>https://a.example/2</link></item></channel></rss>",
+    "https://t.me/s/chan": '<div class="tgme_widget_message" data-post="chan/1"><div class="tgme_widget_message_text">Hello there</div><time datetime="2025-11-05T10:00:00+00:00"></time></div>',
+    "https://36kr.com/feed": "<rss><channel><item><title>Hot</title><link>https://36kr.com/1</link><pubDate>Wed, 05 Nov 2025 11:00:00 GMT</pubDate></item></channel></rss>",
+    "https://o.example/feed": "<rss><channel><item><title>Codex ships</title><link>https://o.example/1</link><pubDate>Wed, 05 Nov 2025 11:00:00 GMT</pubDate></item><item><title>Other</title><link>https://o.example/2</link><pubDate>Wed, 05 Nov 2025 11:00:00 GMT</pubDate></item></channel></rss>",
+    "https://n.example/bulk?s=a": '{"id":"a","title":"A","items":[{"title":"T","url":"https://n.example/t"}]}',
+}
+
+
+def get(url):
+    return SITE[url]
+
+
+def test_a_subscription_list_as_one_source(spark):
+    from newsloom.sources import composed as C
+
+    rows = [
+        ("Zed", "tech", "https://a.example/rss", "", 0), ("Chan", "", "https://rsshub.app/telegram/channel/chan", "", 1), ("Gone", "blog", "https://gone.example/rss", "", 2),
+        ("Skip", "", "https://rsshub.app/zhihu/x", "", 3), ("", "finance", "https://rsshub.app/36kr/hot-list", None, 4), ("Late", "", "https://late.example/rss", "", 5),
+    ]
+    subs = spark.createDataFrame(rows, "title string, category string, xml_url string, html_url string, ordinal int")
+    got = C.subscribed(subs, get, NOW, max_feeds=5, tries=2, wait=0.01)
+    assert sorted((r.site_id, r.source, r.title) for r in got.items.collect()) == [("finance", "", "Hot"), ("opmlrss", "Chan", "Hello there"), ("tech", "Zed", "One")]
+    st = got.statuses.collect()
+    assert [r.feed_title for r in st] == ["Chan", "Gone", "Skip", "Zed", ""] or [r.feed_title for r in st][:4] == ["Chan", "Gone", "Skip", "Zed"]
+    by = {r.feed_url: r for r in st}
+    gone = by["https://gone.example/rss"]
+    assert not gone.ok and "KeyError" in gone.error and gone.n_items == 0 and gone.duration_ms >= 10
+    skip = by["https://rsshub.app/zhihu/x"]
+    assert skip.ok and skip.skipped and skip.skip_reason == "no_official_rss_for_source_type" and skip.effective_feed_url is None and skip.site_id == ""
+    assert by["https://rsshub.app/36kr/hot-list"].replaced and by["https://rsshub.app/telegram/channel/chan"].bridge_type == "telegram"
+    s = got.summary.first()
+    assert (s.ok, s.partial_failures, s.feed_count, s.effective_feed_count, s.skipped_feed_count, s.replaced_feed_count, s.n_items, s.error) == (True, 1, 5, 4, 1, 2, 3, "1 feeds failed")
+
+
+def test_official_branches(spark):
+    import pytest
+
+    from newsloom.sources import composed as C
+
+    branches = [C.Branch("official", "O", "https://o.example/feed", ("codex",)), C.Branch("official", "A", "https://a.example/rss"), C.Branch("news", "N", "https://none.example/")]
+    assert sorted(r.title for r in C.official(spark, branches, get, NOW).collect()) == ["Codex ships", "One"]
+    with pytest.raises(ValueError, match="no items"):
+        C.official(spark, branches[2:], get, NOW)
+
+
+def test_feeds_of_feeds_and_fallbacks(spark):
+    from newsloom.sources import composed as C
+
+    page = "const feeds = [ {name: 'Aye', url: 'https://a.example/rss'}, { name: 'Gone', url: 'https://gone.example/rss' } ];"
+    assert sorted((r.source, r.title) for r in C.feed_of_feeds(spark, page, get, NOW).collect()) == [("Aye", "No date"), ("Aye", "One")]
+    some = spark.range(1)
+    assert C.or_else(some, lambda: spark.range(5)).count() == 1 and C.or_else(some.limit(0), lambda: spark.range(5)).count() == 5
+    got = C.bulk_or_each(spark, ["a", "b"], "https://n.example/bulk", lambda n: f"https://n.example/bulk?s={n}", get, NOW).collect()
+    assert [(r.source, r.title) for r in got] == [("A (a)", "T")]
+    html = '<a href="/newsletter/1">A long title <time datetime="2025-11-05">x</time></a><a href="/newsletter/2">short</a><a href="/other">A longer title</a>'
+    assert [(r["url"], r["published_at"].day) for r in S.newsletter_page(html, NOW, "https://b.example")] == [("https://b.example/newsletter/1", 5)]
+
+
+def test_daily_issue():
+    page = """<body><h1>AI资讯日报 2025/11/5</h1><a href="https://x.example/outside">An outside link</a><article><div class="content"><ul><li><p><strong>Bold one</strong> <a href="https://x.example/1?utm_source=a">more</a></p></li></ul>
+    <p><strong>Bold two</strong><a target="_blank" href="https://x.example/2">阅读全文</a></p><a target="_blank" href="https://x.example/1#top">Again the first</a></div>
+    <p><a href="https://x.example/3">In the article</a><a href="https://source.hubtoday.app/z">No item here</a><a href="https://x.example/4">自媒体账号</a></p></article></body>"""
+    got = [(r["title"], r["url"], r["published_at"].day) for r in S.daily_page(page, NOW)]
+    assert got == [("Bold one", "https://x.example/1?utm_source=a", 5), ("Bold two", "https://x.example/2", 5), ("In the article", "https://x.example/3", 5)]
