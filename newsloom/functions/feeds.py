@@ -51,15 +51,15 @@ def bridge(feed_url: Column, html_url: Column) -> Column:
     parts = F.filter(F.split(path(u), "/"), lambda p: p != "")
     hub = (authority(u) == "rsshub.app") & (F.size(parts) >= 3)
     kinds = {"topic": "topics", "user": "users"}
-    slug = F.element_at(F.filter(F.split(page, "/"), lambda p: p != ""), -1)
+    slug = F.try_element_at(F.filter(F.split(page, "/"), lambda p: p != ""), F.lit(-1))
 
     def out(kind: str, sub: str | None, name: Column, url: Column) -> Column:
         return F.struct(F.lit(kind).alias("bridge_type"), F.lit(sub).cast("string").alias("bridge_kind"), name.alias("bridge_slug"), url.alias("url"))
 
     third = F.try_element_at(parts, F.lit(3))
-    rule = F.when(hub & (parts[0] == "telegram") & (parts[1] == "channel"), out("telegram", None, third, F.concat(F.lit("https://t.me/s/"), third)))
+    rule = F.when(hub & (F.get(parts, F.lit(0)) == "telegram") & (F.get(parts, F.lit(1)) == "channel"), out("telegram", None, third, F.concat(F.lit("https://t.me/s/"), third)))
     for one, many in kinds.items():
-        rule = rule.when(hub & (parts[0] == "jike") & (parts[1] == one), out("jike", one, third, F.concat(F.lit(f"https://m.okjike.com/{many}/"), third)))
+        rule = rule.when(hub & (F.get(parts, F.lit(0)) == "jike") & (F.get(parts, F.lit(1)) == one), out("jike", one, third, F.concat(F.lit(f"https://m.okjike.com/{many}/"), third)))
     rule = rule.when(page.startswith("https://t.me/s/"), out("telegram", None, slug, page))
     for one, many in kinds.items():
         rule = rule.when(page.startswith(f"https://m.okjike.com/{many}/"), out("jike", one, slug, page))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,23 +22,29 @@ NOW = dt.datetime(2025, 11, 12, tzinfo=UTC)
 #: The archive before this is the state, the rows from it on are the new batch.
 CUT = dt.datetime(2025, 11, 5, tzinfo=UTC)
 
-_QUERIES = {}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Registers a query under its name, with the SQL that gives the same rows."""
+def registering(found: dict, oracle: dict[str, str]):
+    """A decorator that registers a query under its name, with the SQL that gives the same rows."""
 
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE[f.__name__] = sql
-        return f
+    def query(sql: str | None = None):
+        def add(f):
+            found[f.__name__] = f
+            if sql is not None:
+                oracle[f.__name__] = sql
+            return f
 
-    return add
+        return add
 
+    return query
 
-def queries() -> dict:
+
+query = registering(_QUERIES, ORACLE)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
 
@@ -315,11 +322,6 @@ def archive_ingestible(spark: SparkSession, d: str) -> DataFrame:
     return archive.ingestible(table(spark, d, "raw_item")).select("ordinal")
 
 
-@query("SELECT id, ordinal FROM archive_item ORDER BY last_seen_at DESC NULLS LAST, ordinal LIMIT 50")
-def archive_latest(spark: SparkSession, d: str) -> DataFrame:
-    return archive.latest_first(table(spark, d, "archive_item")).select("id", "ordinal").limit(50)
-
-
 @query("""
 SELECT a.ordinal, a.id FROM archive_item a WHERE a.id IS NOT NULL AND (a.url LIKE '%vids.example%' OR a.url LIKE '%youtube.com%' OR a.url LIKE '%youtu.be%') AND a.summary IS NULL
  AND NOT EXISTS (SELECT 1 FROM subtitles s WHERE s.item_id = a.id)""")

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -145,6 +145,16 @@ def read_state(spark: SparkSession, path: str) -> str | None:
     return read_text(spark, f"{path}-{max(known)}") if known else None
 
 
+def ranked(ordered: DataFrame, name: str = "place") -> DataFrame:
+    """``ordered`` with the place of each row, from 1, written once: by partitions in order, never in one task."""
+    at = F.col("_at")
+    d = cut(ordered.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright(at, 33)
+    sizes = d.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")  # one row a partition
+    return d.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + at.bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_at", "_part", "_before")
+
+
 #: Rows up to which a side table may be broadcast; beyond it the join stays a shuffled one.
 BROADCAST_ROWS = 100_000
 
