@@ -5,11 +5,17 @@ A first pass counts the tokens of each range; prefix sums over the ranges of a t
 range its first token; a second pass finds, for each point of a grid of tokens, the best boundary
 at or shortly before it, with the place where the overlap before it begins; the candidates of
 neighbouring ranges are stitched, and pieces are emitted by offset. Texts of one range take the
-same steps within one task, with the same pieces.
+same steps within one task.
+
+Where a text may be cut (its marks) is told by what stands within FINE characters of a place, and
+ranges end at marks; so marks and counts between them are the same whatever the ranges, and so are
+the pieces. Marks are natural boundaries; white space where these are far apart; and offsets in
+steps of a fixed size where there is no white space either.
 
 The grid makes every cut independent of the cuts before it: cut k is the best boundary among the
 tokens (k S - W, k S]. A piece has less than S + W tokens besides the overlap, and S and W are
-chosen so that it stays under the limit.
+chosen so that it stays under the limit. Should the counts of parts belie the whole, a piece gives
+up its overlap, and if that is not enough it is emitted in parts, in order, with the same number.
 
 Defined results: null and empty texts give no piece; a text within the limit is one piece; the
 pieces without their overlaps are the text, letter by letter; where there is no boundary, a cut
@@ -21,7 +27,7 @@ from __future__ import annotations
 
 import bisect
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -32,8 +38,10 @@ from newsloom.llm.tokens import DEFAULT, tokenizer
 from newsloom.runtime import cut
 
 LIMIT, OVERLAP = 1024, 64
-#: Characters of a range; the halo on each side of it has an eighth of that.
+#: Characters of a range; the halo on each side of it has an eighth of that, and four times FINE at least.
 RANGE = 65_536
+#: Characters between natural boundaries, or of a word, beyond which a text is marked inside them.
+FINE = 1024
 #: Tokens by which counts of parts and of the whole may differ in a piece.
 SLACK = 24
 
@@ -75,34 +83,71 @@ def grid(limit: int, overlap: int) -> tuple[int, int]:
     return step, room - step
 
 
+def marks(text: str, begins: bool, grid_of: Callable[[int, int], list[int]]) -> tuple[list[int], list[int]]:
+    """Offsets and levels of the marks of a stretch of text, ascending, by its characters alone.
+
+    ``begins``: the stretch begins where the text does; ``grid_of(a, b)``: the offsets in steps of a
+    fixed size that lie between a and b. What stands within FINE characters of the stretch's ends
+    may differ from what the whole text has.
+    """
+    at: list[int] = []
+    level: list[int] = []
+
+    def put(o: int, k: int) -> None:
+        if not at or o > at[-1]:
+            at.append(o)
+            level.append(k)
+        elif o == at[-1]:
+            level[-1] = max(level[-1], k)
+
+    a = 0
+    for b, k in [*boundaries(text), (len(text), NONE)]:
+        if b - a > FINE:
+            x = a
+            for y in [m.start() for m in _SPACE.finditer(text, a + 1, b)] + [b]:
+                if y - x > FINE:
+                    for o in grid_of(x + 1, y):
+                        put(o, NONE)
+                if y < b:
+                    put(y, SPACE)
+                x = y
+        if b < len(text) and (b or not begins):
+            put(b, k)
+        a = b
+    return at, level
+
+
 class Units:
-    """A stretch of text with its token counts at natural boundaries, refined where these are too far apart."""
+    """The marks of a stretch of text from ``first`` to ``last``, which are marks or its ends, with the tokens before each.
 
-    def __init__(self, text: str, path: str, fine: int):
+    Units between marks with more than ``fine`` tokens have marks inside: at white space, and in words of more than that in steps.
+    """
+
+    def __init__(self, text: str, path: str, fine: int, first: int = 0, last: int | None = None, known: tuple[list[int], list[int]] | None = None, steps: Steps | None = None):
         self.text, self.counts = text, tokenizer(path).counts
-        marks = boundaries(text)
-        at = [0, *(o for o, _ in marks), len(text)]
-        level = [PARAGRAPH, *(k for _, k in marks), PARAGRAPH]
+        steps = steps or Steps(text, 0, fine)
+        at, level = known or marks(text, True, steps.between)
+        last = len(text) if last is None else last
+        i, j = bisect.bisect_right(at, first), bisect.bisect_left(at, last)
+        end = level[j] if j < len(at) and at[j] == last else PARAGRAPH
+        at, level = [first, *at[i:j], last], [PARAGRAPH, *level[i:j], end]
         n = self.counts([text[a:b] for a, b in zip(at, at[1:], strict=False)])
-        #: Tokens without refinement; ``total`` is on the scale of the marks.
-        self.plain = sum(n)
-        self.at, self.level, self.tokens = [0], [PARAGRAPH], [0]
+        #: Tokens by the marks of ``known`` alone but for steps; ``total`` is on the scale of all marks.
+        self.at, self.level, self.tokens = [first], [PARAGRAPH], [0]
         for a, b, k, size in zip(at, at[1:], level[1:], n, strict=False):
             if size > fine:
-                self._refine(a, b, fine)
-            if b > self.at[-1]:
-                self.at.append(b)
-                self.level.append(k)
-                self.tokens.append(self.tokens[-1] + (size if self.at[-2] == a else self.counts([text[self.at[-2] : b]])[0]))
-
-    def _refine(self, a: int, b: int, fine: int) -> None:
-        """Marks inside a long unit: at white space, and between characters where there is none."""
+                self._refine(a, b, fine, steps)
+                a = self.at[-1]
+                size = self.counts([text[a:b]])[0]
+            if b > a:
+                self._mark(b, k, size)
+
+    def _refine(self, a: int, b: int, fine: int, steps: Steps) -> None:
         ends = [m.start() for m in _SPACE.finditer(self.text, a + 1, b)] + [b]
-        step = max(1, fine // CHAR_TOKENS)
         x = a
         for y, size in zip(ends, self.counts([self.text[x:y] for x, y in zip([a, *ends], ends, strict=False)]), strict=True):
             if size > fine:
-                inner = list(range(x + step, y, step))
+                inner = steps.between(x + 1, y)
                 for o, n in zip(inner, self.counts([self.text[p:q] for p, q in zip([x, *inner], inner, strict=False)]), strict=True):
                     self._mark(o, NONE, n)
                 size = self.counts([self.text[self.at[-1] : y]])[0]
@@ -119,12 +164,12 @@ class Units:
     def total(self) -> int:
         return self.tokens[-1]
 
-    def back(self, i: int, n: int) -> int:
-        """The last offset that lies at least n tokens before mark i, at a word if one is near."""
+    def back(self, i: int, n: int) -> int | None:
+        """The last offset that lies at least n tokens before mark i, at a word if one is near; null if the stretch has fewer."""
         end = self.at[i]
         j = bisect.bisect_right(self.tokens, self.tokens[i] - n, 0, i + 1) - 1
         if j < 0:
-            return 0
+            return None
         a, b = self.at[j], self.at[min(j + 1, i)]
         want = n - (self.tokens[i] - self.tokens[min(j + 1, i)])  # tokens of the unit behind mark j that are in the overlap
         if want <= 0 or b <= a:
@@ -144,18 +189,35 @@ class Units:
         return min(lo, end)
 
 
-def best_cuts(u: Units, base: int, total: int, step: int, width: int, overlap: int, first: int = 0, last: int | None = None) -> list[tuple[int, int, int, int]]:
-    """(k, level, offset, offset where the overlap begins): for each point of the grid the best mark among (first, last] of the text."""
+class Steps:
+    """Offsets in steps of a fixed size, of characters from the text's beginning, or of bytes from a file's."""
+
+    def __init__(self, text: str, at: int, fine: int, in_bytes: bool = False):
+        self.text, self.at, self.size, self.in_bytes = text, at, max(1, fine // CHAR_TOKENS), in_bytes
+
+    def between(self, a: int, b: int) -> list[int]:
+        """Those in [a, b): where a step is inside a character, the next character."""
+        if not self.in_bytes:
+            return list(range(a + (-(self.at + a)) % self.size, b, self.size))
+        out, o = [], self.at + len(self.text[:a].encode())
+        before = (o - 1) // self.size if o else -1
+        for k in range(a, b):
+            if o // self.size != before if o % self.size == 0 else (o - 1) // self.size != before and k > a:
+                out.append(k)
+            before = (o - 1) // self.size
+            o += len(self.text[k].encode())
+        return out
+
+
+def best_cuts(u: Units, base: int, total: int, step: int, width: int) -> list[tuple[int, int, int]]:
+    """(k, level, mark): for each point of the grid the best mark of the stretch, its first one left out."""
     out: dict[int, tuple[int, int]] = {}
     n_cuts = -(-total // step) - 1
-    last = len(u.text) if last is None else last
-    for i, (o, level, t) in enumerate(zip(u.at, u.level, u.tokens, strict=True)):
-        if not first < o <= last:
-            continue
+    for i, (level, t) in enumerate(zip(u.level, u.tokens, strict=True)):
         k = -(-(base + t) // step)
-        if 1 <= k <= n_cuts and base + t > k * step - width and (k not in out or (level, i) > out[k]):
+        if i and 1 <= k <= n_cuts and base + t > k * step - width and (k not in out or (level, i) > out[k]):
             out[k] = (level, i)
-    return [(k, level, u.at[i], u.back(i, overlap) if overlap else u.at[i]) for k, (level, i) in sorted(out.items())]
+    return [(k, level, i) for k, (level, i) in sorted(out.items())]
 
 
 # ---- texts of one range ---------------------------------------------------------------------------
@@ -166,29 +228,34 @@ _PIECE_ARROW = pa.schema(
 )
 
 
-def fitted(text: str, begin: int, cut_from: int, end: int, limit: int, path: str) -> tuple[int, int]:
-    """Where a piece begins and its tokens: the overlap is shortened if counts of parts belied the whole."""
+def fitted(text: str, begin: int, cut_from: int, end: int, limit: int, path: str) -> list[tuple[int, int, int]]:
+    """(begin, end, tokens) of a piece, or of its parts: its overlap is given up where counts of parts belied the whole,
+    and what is above the limit even so is halved at the white space next to its middle, if there is any."""
     count = tokenizer(path).count
     n = count(text[begin:end])
     while n > limit and begin < cut_from:
         begin = min(cut_from, begin + n - limit)
         n = count(text[begin:end])
-    return begin, n
+    if n <= limit or end - begin < 2:
+        return [(begin, end, n)]
+    middle = (begin + end) // 2
+    half = next((m.start() for m in _SPACE.finditer(text, middle, end - 1)), middle)
+    return [*fitted(text, begin, begin, half, limit, path), *fitted(text, half, half, end, limit, path)]
 
 
-def pieces_of(text: str, limit: int, overlap: int, path: str) -> list[tuple[int, int, int, int, str]]:
-    """(first_char, end_char, overlap_chars, n_tokens, kind of the cut behind) of a whole text."""
-    if len(text) <= limit // 4 or (n := tokenizer(path).count(text)) <= limit:
-        return [(0, len(text), 0, tokenizer(path).count(text) if len(text) <= limit // 4 else n, "end")]
+def pieces_of(text: str, limit: int, overlap: int, path: str) -> list[tuple[int, int, int, int, int, str]]:
+    """(piece_no, first_char, end_char, overlap_chars, n_tokens, kind of the cut behind) of a whole text."""
+    if len(text) <= limit // CHAR_TOKENS or (n := tokenizer(path).count(text)) <= limit:
+        return [(0, 0, len(text), 0, tokenizer(path).count(text) if len(text) <= limit // CHAR_TOKENS else n, "end")]
     step, width = grid(limit, overlap)
     u = Units(text, path, width // 2)
-    cuts = best_cuts(u, 0, u.total, step, width, overlap)
     out = []
     begin = mark = 0
-    for _, level, o, back in [*cuts, (0, -1, len(text), 0)]:
-        at, n = fitted(text, begin, mark, o, limit, path)
-        out.append((at, o, mark - at, n, KINDS[level] if level >= 0 else "end"))
-        begin, mark = back, o
+    for no, (_, level, i) in enumerate([*best_cuts(u, 0, u.total, step, width), (0, -1, len(u.at) - 1)]):
+        for a, z, n in fitted(text, begin, mark, u.at[i], limit, path):
+            out.append((no, a, z, max(0, mark - a), n, KINDS[level] if level >= 0 else "end"))
+        mark = u.at[i]
+        begin = (u.back(i, overlap) or 0) if overlap else mark
     return out
 
 
@@ -197,7 +264,7 @@ def _whole(limit: int, overlap: int, path: str):
         for b in batches:
             rows = []
             for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
-                for k, (a, z, over, n, kind) in enumerate(pieces_of(text, limit, overlap, path)):
+                for k, a, z, over, n, kind in pieces_of(text, limit, overlap, path):
                     rows.append((doc, k, a, z, over, n, kind, text[a:z]))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True) if rows else [[]] * 8, _PIECE_ARROW, strict=True)], schema=_PIECE_ARROW)
 
@@ -208,63 +275,69 @@ def _whole(limit: int, overlap: int, path: str):
 #
 # A range is a row: row_key, doc_id (or file), range_no, at (offset of its chunk), chunk (the range
 # with halos), lead (characters of the halo before it), span (characters of the range), total (size
-# of the whole). Offsets are characters of a column's text, or bytes of a file.
+# of the whole), ends (whether it is the last). Offsets are characters of a column's text, or bytes of a file.
+
 
+def _halo(size: int, in_bytes: bool = False) -> int:
+    return max(size // 8, 4 * FINE * (4 if in_bytes else 1))
 
-def _halo(size: int) -> int:
-    return size // 8
 
+class _Own:
+    """A range's own stretch of its chunk: from the first mark at or behind where it nominally begins to the first at or behind where it ends."""
 
-def _edge(text: str, nominal: int, reach: int) -> int:
-    """The place at or behind ``nominal`` where a range really ends: both neighbours find the same one within the halo."""
-    if nominal >= len(text):
-        return len(text)
-    m = _SPACE.search(text, nominal, min(len(text), nominal + reach))
-    return m.start() if m else nominal
+    def __init__(self, r, fine: int, in_bytes: bool):
+        self.chunk, self.first_range = r.chunk, r.range_no == 0
+        self.steps = Steps(r.chunk, int(r.at), fine, in_bytes)
+        self.known = marks(r.chunk, int(r.at) == 0, self.steps.between)
+        self.first = 0 if self.first_range else self._next(int(r.lead))
+        self.last = len(r.chunk) if r.ends else self._next(int(r.lead) + int(r.span))
 
+    def _next(self, nominal: int) -> int:
+        i = bisect.bisect_left(self.known[0], nominal)
+        return self.known[0][i] if i < len(self.known[0]) else len(self.chunk)
 
-def _own(chunk: str, lead: int, span: int, size: int) -> tuple[int, int]:
-    """Bounds of a range's own text in its chunk. A halo of bytes has at least a quarter as many characters."""
-    reach = _halo(size) // 8
-    return (_edge(chunk, lead, reach) if lead else 0), _edge(chunk, lead + span, reach)
+    def units(self, path: str, fine: int, first: int | None = None, last: int | None = None) -> Units:
+        return Units(self.chunk, path, fine, self.first if first is None else first, self.last if last is None else last, self.known, self.steps)
 
 
 def ranges(documents: DataFrame, size: int = RANGE) -> DataFrame:
-    """Ranges of ``size`` characters of the texts of (row_key, doc_id, text)."""
-    n, halo, start = F.length("text"), _halo(size), F.col("range_no") * size
-    each = documents.withColumn("range_no", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int"))))
-    at = F.greatest(F.lit(0), start - halo)
-    return each.select(
-        "row_key", "doc_id", "range_no", at.cast("long").alias("at"), F.substring("text", at + 1, start - at + size + halo).alias("chunk"),
-        (start - at).alias("lead"), F.lit(size).alias("span"), n.cast("long").alias("total"),
-    )
+    """Ranges of ``size`` characters of the texts of (row_key, doc_id, text): a text is gone through once."""
+    halo = _halo(size)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for key, doc, text in zip(*(b[c].to_pylist() for c in ("row_key", "doc_id", "text")), strict=True):
+                n, rows = len(text), []
+                for no in range(-(-n // size)):
+                    start = no * size
+                    low, high = max(0, start - halo), min(n, start + size + halo)
+                    rows.append((key, doc, no, low, text[low:high], start - low, min(size, n - start), n, start + size >= n))
+                    if len(rows) == 64 or start + size >= n:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _CHUNK, strict=True)], schema=_CHUNK)
+                        rows = []
+
+    return documents.select("row_key", "doc_id", "text").mapInArrow(run, "row_key long, doc_id long, range_no int, at long, chunk string, lead int, span int, total long, ends boolean")
+
+
+_CHUNK = pa.schema([("row_key", pa.int64()), ("doc_id", pa.int64()), ("range_no", pa.int32()), ("at", pa.int64()), ("chunk", pa.string()), ("lead", pa.int32()), ("span", pa.int32()), ("total", pa.int64()), ("ends", pa.bool_())])
 
-def _counted(size: int, limit: int, overlap: int, path: str):
+
+def _counted(limit: int, overlap: int, path: str, in_bytes: bool):
     _, width = grid(limit, overlap)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = tokenizer(path).count
         for b in batches:
-            n, plain = [], []
-            for r in b.itertuples(index=False):
-                a, z = _own(r.chunk, int(r.lead), int(r.span), size)
-                u = Units(r.chunk[a:z], path, width // 2)  # as in _candidates, so that sums and marks are on one scale
-                n.append(u.total)
-                plain.append(u.plain)
-            yield pd.DataFrame({"row_key": b["row_key"], "range_no": b["range_no"], "n": n, "plain": plain})
+            own = [_Own(r, width // 2, in_bytes) for r in b.itertuples(index=False)]
+            n = [o.units(path, width // 2).total if o.first < o.last else 0 for o in own]
+            yield pd.DataFrame({"row_key": b["row_key"], "range_no": b["range_no"], "n": n, "plain": [count(o.chunk[o.first : o.last]) for o in own]})
 
     return run
 
 
-def _level_at(chunk: str, o: int) -> int:
-    """What kind of boundary stands at an offset of a chunk."""
-    low = max(0, o - 256)
-    here = [k for at, k in boundaries(chunk[low : o + 256]) if at == o - low]
-    return here[0] if here else SPACE if chunk[o : o + 1].isspace() else NONE
-
-
-def _candidates(size: int, limit: int, overlap: int, path: str, in_bytes: bool):
+def _candidates(limit: int, overlap: int, path: str, in_bytes: bool):
     step, width = grid(limit, overlap)
+    fine = width // 2
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -276,24 +349,27 @@ def _candidates(size: int, limit: int, overlap: int, path: str, in_bytes: bool):
 
                 if r.plain <= limit:
                     continue
-                a, z = _own(r.chunk, int(r.lead), int(r.span), size)
-                u = Units(r.chunk[a:z], path, width // 2)
-                u.level[-1] = _level_at(r.chunk, z)
-                # Counts go on from the own text's first token; the overlap may begin in the halo before it.
-                for k, level, o, back in best_cuts(u, int(r.base), int(r.all), step, width, overlap):
-                    if back == 0 and a:
-                        before = Units(r.chunk[: a + o], path, width // 2)
-                        back = before.back(len(before.at) - 1, overlap) - a
-                    rows.append((r.row_key, r.doc_id, k, level, offset(a + o), offset(a + back)))
+                own = _Own(r, fine, in_bytes)
+                if own.first >= own.last:
+                    continue
+                u = own.units(path, fine)
+                for k, level, i in best_cuts(u, int(r.base), int(r.all), step, width):
+                    o = u.at[i]
+                    if not overlap:
+                        back = o
+                    elif (back := u.back(i, overlap)) is None:  # the overlap begins before the range: in its halo, or where the text does
+                        before = own.units(path, fine, 0 if int(r.at) == 0 else own._next(FINE), o)
+                        back = before.back(len(before.at) - 1, overlap) or 0
+                    rows.append((r.row_key, r.doc_id, k, level, offset(o), offset(back)))
             yield pd.DataFrame(rows, columns=["row_key", "doc_id", "k", "level", "cut_at", "back_at"])
 
     return run
 
 
-def _spans(spread: DataFrame, limit: int, overlap: int, path: str, size: int, in_bytes: bool) -> DataFrame:
+def _spans(spread: DataFrame, limit: int, overlap: int, path: str, in_bytes: bool) -> DataFrame:
     """row_key, doc_id, piece_no, first, end, mark (where the overlap ends), kind: pieces by offset."""
     kind = spread.schema["doc_id"].dataType.simpleString()
-    counted = cut(spread.select("row_key", "range_no", "lead", "span", "chunk").mapInPandas(_counted(size, limit, overlap, path), "row_key long, range_no int, n long, plain long"), "counted")
+    counted = cut(spread.select("row_key", "range_no", "at", "lead", "span", "chunk", "ends").mapInPandas(_counted(limit, overlap, path, in_bytes), "row_key long, range_no int, n long, plain long"), "counted")
     by_range = Window.partitionBy("row_key").orderBy("range_no")
     sums = counted.select(
         "row_key",
@@ -302,7 +378,7 @@ def _spans(spread: DataFrame, limit: int, overlap: int, path: str, size: int, in
         F.sum("n").over(Window.partitionBy("row_key")).alias("all"),
         F.sum("plain").over(Window.partitionBy("row_key")).alias("plain"),
     )
-    found = spread.join(sums, ["row_key", "range_no"]).mapInPandas(_candidates(size, limit, overlap, path, in_bytes), f"row_key long, doc_id {kind}, k int, level int, cut_at long, back_at long")
+    found = spread.join(sums, ["row_key", "range_no"]).mapInPandas(_candidates(limit, overlap, path, in_bytes), f"row_key long, doc_id {kind}, k int, level int, cut_at long, back_at long")
     # Neighbouring ranges may both have a mark for a point of the grid: the better one counts, of equals the later.
     cuts = found.groupBy("row_key", "doc_id", "k").agg(F.max(F.struct("level", "cut_at", "back_at")).alias("c")).select("row_key", "doc_id", "k", "c.*")
     zero = F.lit(0).cast("long")
@@ -325,8 +401,8 @@ def _exact(limit: int, path: str):
             rows = []
             for r in b.itertuples(index=False):
                 over = int(r.mark - r.first)
-                begin, n = fitted(r.text, 0, over, len(r.text), limit, path)
-                rows.append((r.doc_id, r.piece_no, r.first + begin, r.end, over - begin, n, r.kind, r.text[begin:]))
+                for a, z, n in fitted(r.text, 0, over, len(r.text), limit, path):
+                    rows.append((r.doc_id, r.piece_no, r.first + a, r.first + z, max(0, over - a), n, r.kind, r.text[a:z]))
             yield pd.DataFrame(rows, columns=["doc_id", "piece_no", "first_char", "end_char", "overlap_chars", "n_tokens", "cut_at", "text"])
 
     return run
@@ -336,8 +412,8 @@ def giant_pieces(documents: DataFrame, limit: int, overlap: int, path: str, size
     """Pieces of texts of more than one range."""
     keyed = documents.select(F.monotonically_increasing_id().alias("row_key"), "doc_id", "text")
     tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = cut(ranges(keyed, size).repartition(tasks, "row_key", "range_no"), "ranges")
-    spans = cut(_spans(spread, limit, overlap, path, size, False), "spans")
+    spread = cut(ranges(cut(keyed, "giant"), size).repartition(tasks, "row_key", "range_no"), "ranges")
+    spans = cut(_spans(spread, limit, overlap, path, False), "spans")
     # Nearly every piece lies in the chunk of the range that it ends in.
     owned = spans.withColumn("range_no", F.floor((F.col("end") - 1) / size).cast("int")).join(spread.select("row_key", "range_no", "at", "chunk"), ["row_key", "range_no"])
     columns = ["row_key", "doc_id", "piece_no", "first", "end", "mark", "kind"]
@@ -363,10 +439,13 @@ def _open(uri: str):
 
 def _decoded(data: bytes) -> str:
     """Text of the same length in bytes: a byte that is no UTF-8 is one question mark."""
-    try:
-        return data.decode()
-    except UnicodeDecodeError as e:
-        return data[: e.start].decode() + "?" * (e.end - e.start) + _decoded(data[e.end :])
+    out, at = [], 0
+    while True:
+        try:
+            return "".join([*out, data[at:].decode()])
+        except UnicodeDecodeError as e:
+            out.append(data[at : at + e.start].decode() + "?" * (e.end - e.start))
+            at += e.end
 
 
 def _aligned(data: bytes, at: int) -> int:
@@ -377,7 +456,7 @@ def _aligned(data: bytes, at: int) -> int:
     return min(at, len(data))
 
 
-_RANGE = "row_key long, doc_id string, range_no int, at long, chunk string, lead int, span int, total long"
+_RANGE = "row_key long, doc_id string, range_no int, at long, chunk string, lead int, span int, total long, ends boolean"
 
 
 def file_ranges(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame:
@@ -391,15 +470,15 @@ def file_ranges(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame:
             rows = []
             for r in b.itertuples(index=False):
                 start = int(r.range_no) * size
-                low = max(0, start - _halo(size))
+                low = max(0, start - _halo(size, True))
                 with _open(r.path) as f:
                     f.seek(low)
-                    data = f.read(min(int(r.length), start + size + _halo(size)) - low)
+                    data = f.read(min(int(r.length), start + size + _halo(size, True)) - low)
                 first = _aligned(data, 0) if low else 0
                 last = len(data) if low + len(data) == r.length else _whole_characters(data)
                 a, z = _aligned(data, start - low), _aligned(data, min(start + size - low, last))
-                rows.append((r.row_key, r.path, r.range_no, low + first, _decoded(data[first:last]), len(_decoded(data[first:a])), len(_decoded(data[a:z])), r.length))
-            yield pd.DataFrame(rows, columns=["row_key", "doc_id", "range_no", "at", "chunk", "lead", "span", "total"])
+                rows.append((r.row_key, r.path, r.range_no, low + first, _decoded(data[first:last]), len(_decoded(data[first:a])), len(_decoded(data[a:z])), r.length, start + size >= r.length))
+            yield pd.DataFrame(rows, columns=["row_key", "doc_id", "range_no", "at", "chunk", "lead", "span", "total", "ends"])
 
     return each.repartition(tasks, "row_key", "range_no").mapInPandas(run, _RANGE)
 
@@ -417,7 +496,7 @@ def _whole_characters(data: bytes) -> int:
 def file_pieces(spark: SparkSession, path: str, limit: int = LIMIT, overlap: int = OVERLAP, tokens: str = DEFAULT, size: int = RANGE) -> DataFrame:
     """path, piece_no, first_byte, end_byte, overlap_bytes, n_tokens, cut_at, text of the files under ``path``."""
     spread = cut(file_ranges(spark, path, size), "ranges")
-    spans = cut(_spans(spread, limit, overlap, tokens, size, True), "spans")
+    spans = cut(_spans(spread, limit, overlap, tokens, True), "spans")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -427,9 +506,9 @@ def file_pieces(spark: SparkSession, path: str, limit: int = LIMIT, overlap: int
                     f.seek(int(r.first))
                     data = f.read(int(r.end - r.first))
                 text, over = _decoded(data), len(_decoded(data[: int(r.mark - r.first)]))
-                begin, n = fitted(text, 0, over, len(text), limit, tokens)
-                skipped = len(text[:begin].encode())
-                rows.append((r.doc_id, r.piece_no, r.first + skipped, r.end, r.mark - r.first - skipped, n, r.kind, text[begin:]))
+                for a, z, n in fitted(text, 0, over, len(text), limit, tokens):
+                    start, stop = len(text[:a].encode()), len(text[:z].encode())
+                    rows.append((r.doc_id, r.piece_no, r.first + start, r.first + stop, max(0, r.mark - r.first - start), n, r.kind, text[a:z]))
             yield pd.DataFrame(rows, columns=["path", "piece_no", "first_byte", "end_byte", "overlap_bytes", "n_tokens", "cut_at", "text"])
 
     return spans.mapInPandas(run, "path string, piece_no int, first_byte long, end_byte long, overlap_bytes long, n_tokens int, cut_at string, text string")
