@@ -1,13 +1,16 @@
 """Speech transcripts as clean, ordered speaker turns (problem 5).
 
 A file is cut into segments where its clock starts anew; in each, the cues are put in order of
-start time and their bounds are made consistent by isotonic regression (pool adjacent violators).
+start time, and stamps that contradict each other (an end before its start) are repaired with the
+starts around them by isotonic regression (pool adjacent violators); segments follow each other on
+one clock. Cues that overlap are cross-talk and keep their bounds. Bounds of turns come from the
+repaired stamps; which cue a turn begins with and who speaks doesn't depend on them.
 A small grammar takes labels, marks, sounds and hesitations out of the lines; what is left are
 words, and neighbouring words of one roster speaker are one turn.
 
 Defined results: files without roster rows, null files and files without cues give no turns; a
 label that fits no roster name is speech; a label that fits several names is a mark that names
-nobody. Each file is one row with its roster beside it, so no group grows with the table.
+nobody; of a language without a list of hesitations only those that all share are left out. Each file is one row with its roster beside it, so no group grows with the table.
 """
 
 from __future__ import annotations
@@ -37,6 +40,8 @@ HESITATIONS = {
 }
 _ANY = "|".join([r"u+h+|h+m+|ä+h+m*|e+u+h+|呃+|嗯+"])
 _HESITATION = {k: re.compile(rf"(?:{v}|{_ANY})") for k, v in HESITATIONS.items()}
+#: Of a language without a list, only the sounds that all share are taken for hesitations.
+_OTHER = re.compile(_ANY)
 _SOUND = re.compile(r"\[[^\[\]]*\]|\([^()]*\)|\*[^*]*\*|[♪♫][^♪♫]*[♪♫]?")
 _VOICE = re.compile(r"<v(?:\.[^\s>]*)?\s+([^>]+)>")
 _LABEL = re.compile(r"^\s*(?P<mark>>>+|»)?\s*(?:[-–—]\s+)?(?:\[(?P<square>[^\[\]]{1,60})\]|\((?P<round>[^()]{1,60})\)|(?P<name>[^:：\[\]<>]{1,70}?)(?=\s*[:：]))\s*[:：]?\s*")
@@ -128,10 +133,15 @@ def repaired(found: list[Cue]) -> list[Cue]:
     shift = 0
     for part in segments:
         part = by_start(part)
-        bounds = isotonic([x for c in part for x in (c.start_ms, max(c.start_ms, c.end_ms))])
-        for c, a, z in zip(part, bounds[::2], bounds[1::2], strict=True):
-            out.append(c._replace(start_ms=int(a) + shift, end_ms=int(z) + shift))
-        shift = out[-1].end_ms
+        # Each start, and each end that contradicts its start, in order.
+        fitted = iter(isotonic([x for c in part for x in ((c.start_ms, c.end_ms) if c.end_ms < c.start_ms else (c.start_ms,))]))
+        high = shift
+        for c in part:
+            a = int(next(fitted))
+            z = int(next(fitted)) if c.end_ms < c.start_ms else max(a, c.end_ms)
+            out.append(c._replace(start_ms=a + shift, end_ms=z + shift))
+            high = max(high, z + shift)
+        shift = high
     return out
 
 
@@ -171,7 +181,7 @@ def _labelled(line: str, roster: Roster) -> list[tuple[str | None, str]]:
 def turns(vtt: str | None, lang: str | None, speakers: list[tuple[str, str]]) -> list[Turn]:
     """The turns of one file; ``speakers``: (name, role) of its roster."""
     roster = Roster(speakers)
-    hesitation = _HESITATION.get((lang or "en").split("-")[0].lower(), _HESITATION["en"])
+    hesitation = _HESITATION.get((lang or "en").split("-")[0].lower(), _OTHER)
     out: list[list] = []
     who = UNKNOWN
     for c in repaired(cues(vtt)):
@@ -189,7 +199,7 @@ def turns(vtt: str | None, lang: str | None, speakers: list[tuple[str, str]]) ->
             if not words:
                 continue
             if out and out[-1][0] == speaker:
-                out[-1][3], out[-1][4] = c.end_ms, out[-1][4] + words
+                out[-1][3], out[-1][4] = max(out[-1][3], c.end_ms), out[-1][4] + words
             else:
                 out.append([speaker, c.cue_no, c.start_ms, c.end_ms, words])
     return [Turn(n, s, first, a, z, " ".join(words)) for n, (s, first, a, z, words) in enumerate(out, 1)]

@@ -72,3 +72,46 @@ def test_frames(spark):
     got = T.speaker_turns(files, roster).collect()
     assert sorted((r.vtt_id, r.speaker) for r in got) == [(1, "Ann Marlowe"), (5, "Ann Marlowe")]
     assert T.speaker_turns(files.limit(0), roster).count() == 0 and T.speaker_turns(files, roster.limit(0)).count() == 0
+
+
+CLOCKS = """WEBVTT
+
+00:00:01.000 --> 00:00:04.000
+Ann Lee: one two
+
+00:00:03.000 --> 00:00:03.500
+Bo Ray: over that
+
+00:05:00.000 --> 00:04:00.000
+Ann Lee: three four
+
+00:06:00.000 --> 00:06:04.000
+Bo Ray: five
+
+00:00:02.000 --> 00:00:05.000
+Ann Lee: a new clock
+
+00:00:09.000 --> 00:00:08.000
+Bo Ray: ends early
+"""
+
+
+def test_contradicting_stamps_and_clock_resets_are_repaired(monkeypatch):
+    from newsloom.llm import turns as T
+
+    people = [("Ann Lee", "host"), ("Bo Ray", "guest")]
+    got = T.turns(CLOCKS, "en", people)
+    assert [(t.speaker, t.first_cue_no) for t in got] == [("Ann Lee", 1), ("Bo Ray", 2), ("Ann Lee", 3), ("Bo Ray", 4), ("Ann Lee", 5), ("Bo Ray", 6)]
+    bounds = [(t.start_ms, t.end_ms) for t in got]
+    # Cross-talk keeps its bounds; the end before its start is pooled with it; the second clock goes on from the first.
+    assert bounds == [(1000, 4000), (3000, 3500), (270_000, 270_000), (360_000, 364_000), (366_000, 369_000), (372_500, 372_500)]
+    assert all(a <= z for a, z in bounds) and sorted(a for a, _ in bounds) == [a for a, _ in bounds]
+    monkeypatch.setattr(T, "isotonic", lambda values: values)
+    assert [(t.start_ms, t.end_ms) for t in T.turns(CLOCKS, "en", people)] != bounds
+
+
+def test_a_language_without_a_list():
+    from newsloom.llm import turns as T
+
+    vtt = "WEBVTT\n\n00:00:01.000 --> 00:00:02.000\nAnn Lee: uhh oh ah ja\n"
+    assert [t.text for t in T.turns(vtt, "pt-BR", [("Ann Lee", "")])] == ["oh ah ja"]
