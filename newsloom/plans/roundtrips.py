@@ -679,7 +679,7 @@ def _written(df: DataFrame, name: str) -> DataFrame:
 def payload_latest(spark: SparkSession, d: str) -> DataFrame:
     """The window as a payload: redacted, times as text, written and read."""
     rows = items.latest_first(_viewed(spark, d)).select("ordinal", "id", "title", "published_at", "url")
-    return _written(payloads._as_text(rows), "latest").select("ordinal", "id", "title", "published_at", "url")
+    return _written(payloads.as_text(rows), "latest").select("ordinal", "id", "title", "published_at", "url")
 
 
 @query(f"SELECT ordinal, id, site_id, star, {_REDACTED.format(t='summary')} AS summary FROM archive_item")
@@ -696,7 +696,7 @@ def payload_title_cache(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_PAGES} SELECT story_id, n AS item_count, {_REDACTED.format(t='title')} AS title, list_count AS n_links FROM p JOIN (SELECT page, count(*) AS list_count FROM v GROUP BY page) USING (page)")
 def payload_stories(spark: SparkSession, d: str) -> DataFrame:
-    s = _written(payloads._as_text(stories.in_order(_page_stories(spark, d))), "stories")
+    s = _written(payloads.as_text(stories.in_order(_page_stories(spark, d))), "stories")
     return s.select("story_id", "item_count", "title", F.size("items").cast("long").alias("n_links"))
 
 

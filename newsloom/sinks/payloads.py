@@ -37,13 +37,14 @@ def _recover(spark: SparkSession, path: str) -> None:
             move(spark, f"{path}.old", path)
 
 
-def payload(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+def payload(spark: SparkSession, path: str, kind: str = "json", schema: str | None = None) -> DataFrame:
     """What was last swapped in."""
     _recover(spark, path)
-    return spark.read.format(kind).load(path)
+    reader = spark.read.format(kind)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
-def _as_text(df: DataFrame) -> DataFrame:
+def as_text(df: DataFrame) -> DataFrame:
     """Times as ISO text in UTC."""
     return df.select(*[iso(F.col(f"`{f.name}`")).alias(f.name) if f.dataType.typeName().startswith("timestamp") else F.col(f"`{f.name}`") for f in df.schema.fields])
 
@@ -63,12 +64,12 @@ def write_all(path: str, shown: DataFrame, raw: DataFrame, story_table: DataFram
     picked = stories.brief(story_table)
     tables: dict[str, DataFrame] = {
         "latest-summary": latest(shown, now, hours),
-        "latest-items": _as_text(once),
-        "latest-items-raw": _as_text(repeats.latest_first(raw)),
-        "daily-brief": _as_text(story_table.join(picked, "story_id").orderBy("rank")),
-        "stories-merged": _as_text(stories.in_order(story_table)),
+        "latest-items": as_text(once),
+        "latest-items-raw": as_text(repeats.latest_first(raw)),
+        "daily-brief": as_text(story_table.join(picked, "story_id").orderBy("rank")),
+        "stories-merged": as_text(stories.in_order(story_table)),
         "merge-log": events,
-        "archive": _as_text(archive.orderBy(F.col("last_seen_at").desc_nulls_last(), "ordinal")),
+        "archive": as_text(archive.orderBy(F.col("last_seen_at").desc_nulls_last(), "ordinal")),
         "source-status": statuses,
         "title-cache": cache,
         "week-digest": week,
