@@ -32,11 +32,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     e = links.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = cut(e, "cc")
-    before = None
-    while True:
-        # Components are stars once every node has one link and no root has any.
-        state = e.agg(F.count("*"), F.count_distinct("u"), F.sum(F.hash("u", "v").cast("long"))).first()
-        if before == state:
-            return e.select("u", F.col("v").alias("root"))
-        before = state
+    # Components are stars once no root hangs below another node and every node below has one root.
+    while not e.join(e.select(F.col("u").alias("v")).distinct(), "v", "left_semi").isEmpty() or not e.groupBy("u").count().where("count > 1").isEmpty():
         e = cut(_small(_large(e)), "cc")
+    return e.select("u", F.col("v").alias("root"))

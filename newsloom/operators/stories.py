@@ -30,6 +30,8 @@ from newsloom.runtime import cut
 MERGE_HOURS, MERGE_SIMILARITY = 6, 0.86
 #: Least ratio of lengths of two titles that can reach the similarity: the matching ratio must be 0.7666.
 LENGTHS = 0.62
+#: Pairs of which the components go to one task together.
+GROUPED = 20_000
 GATE, LIMIT, PENALTY, PICK_JACCARD = 0.72, 20, 0.03, 0.4
 
 
@@ -46,10 +48,14 @@ def _edges(firsts: DataFrame) -> DataFrame:
     pairs_of_han = F.filter(F.flatten(F.transform(F.regexp_extract_all("story_title", F.lit(f"([{titles.HAN}]{{2,}})"), F.lit(1)), lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - 1), lambda i: F.substring(r, i, F.lit(2))))), lambda x: x.isNotNull())
     keyed = firsts.withColumns({"bucket": bucket, "keys": F.array_distinct(F.concat(F.filter("words", lambda w: ~w.rlike(f"[{titles.HAN}]")), pairs_of_han)), "n": F.length("story_title")})
     side = keyed.select("ordinal", "at", "bucket", "n", "mergeable", F.explode("keys").alias("key"))
-    near = side.select(*[F.col(c).alias(f"o_{c}") for c in ("ordinal", "at", "n")], "key", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)).alias("bucket"))
+    other = side.select(*[F.col(c).alias(f"o_{c}") for c in ("ordinal", "at", "n")], "key", "bucket")
+    near = other.where("o_at is not null").withColumn("bucket", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)))
+    mine = side.where("mergeable")
+    # An item without time comes before all others and is near to each.
+    met = mine.where("at is not null").join(near, ["bucket", "key"]).unionByName(mine.join(other.where("o_at is null").drop("bucket"), "key"))
     earlier = (F.coalesce("o_at", F.lit(-1)) < F.coalesce("at", F.lit(-1))) | (F.col("o_at").eqNullSafe(F.col("at")) & (F.col("o_ordinal") < F.col("ordinal")))
     close = F.abs(F.col("at") - F.col("o_at")) <= MERGE_HOURS * 3_600_000_000
-    pairs = side.where("mergeable").join(near, ["bucket", "key"]).where(earlier & F.coalesce(close, F.lit(True)) & (F.least("n", "o_n") >= LENGTHS * F.greatest("n", "o_n"))).select("ordinal", "o_ordinal").distinct()
+    pairs = met.where(earlier & F.coalesce(close, F.lit(True)) & (F.least("n", "o_n") >= LENGTHS * F.greatest("n", "o_n"))).select("ordinal", "o_ordinal").distinct()
     a = firsts.select("ordinal", "story_title", "words", "vendors", "models")
     b = a.select(*[F.col(c).alias(f"o_{c}") for c in a.columns])
     full = pairs.join(a, "ordinal").join(b, "o_ordinal")
@@ -60,18 +66,25 @@ def _edges(firsts: DataFrame) -> DataFrame:
 
 
 def _founders(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The sequential rule over one component: each item with the founder it joins."""
+    """The sequential rule over components: each item with the founder it joins."""
+    rows = []
+    for _, part in pdf.groupby("root", sort=False):
+        rows += _founders_of(part)
+    return pd.DataFrame(rows, columns=["ordinal", "founder", "similarity"]).astype({"ordinal": "int64", "founder": "int64", "similarity": "float64"})
+
+
+def _founders_of(part: pd.DataFrame) -> list[tuple[int, int, float]]:
     founders: list[int] = []
     known: set[int] = set()
     rows = []
-    for r in pdf.sort_values(["at", "ordinal"], na_position="first").itertuples(index=False):
+    for r in part.sort_values(["at", "ordinal"], na_position="first").itertuples(index=False):
         mine = {e["o"]: e["s"] for e in (r.edges if r.edges is not None else [])}
         hit = next((f for f in founders if f in mine), None) if known & mine.keys() else None
         if hit is None:
             founders.append(r.ordinal)
             known.add(r.ordinal)
         rows.append((r.ordinal, r.ordinal if hit is None else hit, 1.0 if hit is None else mine[hit]))
-    return pd.DataFrame(rows, columns=["ordinal", "founder", "similarity"]).astype({"ordinal": "int64", "founder": "int64", "similarity": "float64"})
+    return rows
 
 
 def merged(items: DataFrame, identity: tuple[str, ...] = IDENTITY_KEYS) -> DataFrame:
@@ -87,7 +100,8 @@ def merged(items: DataFrame, identity: tuple[str, ...] = IDENTITY_KEYS) -> DataF
     both = edges.groupBy("ordinal").agg(F.collect_list(F.struct(F.col("o_ordinal").alias("o"), F.col("similarity").alias("s"))).alias("edges"))
     touched = roots.select(F.col("u").alias("ordinal"), "root").union(roots.select("root", "root").distinct())
     inside = firsts.select("ordinal", "at").join(touched, "ordinal").join(both, "ordinal", "left")
-    ruled = inside.groupBy("root").applyInPandas(_founders, "ordinal long, founder long, similarity double")
+    groups = max(1, -(-edges.count() // GROUPED))
+    ruled = inside.groupBy(F.pmod(F.xxhash64("root"), F.lit(groups)).alias("g")).applyInPandas(lambda pdf: _founders(pdf), "ordinal long, founder long, similarity double")
     heads = firsts.select("ordinal", "own_story").join(ruled, "ordinal", "left").select(
         F.col("ordinal").alias("head"), F.coalesce("founder", "ordinal").alias("founder"), F.coalesce("similarity", F.lit(1.0)).alias("similarity")
     )

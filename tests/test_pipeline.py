@@ -125,6 +125,51 @@ def test_near_repeats(spark, seed):
     assert got == gone and gone
 
 
+def sequential_repeats(rows, lookback=60):
+    """Items that leave, by the rule in order of time; a better late one takes the slot of the one it meets."""
+    gone = set()
+    for site in {r["site_id"] for r in rows}:
+        kept = []
+        first = dt.datetime.min.replace(tzinfo=dt.timezone.utc)
+        for i, r in sorted(((i, r) for i, r in enumerate(rows) if r["site_id"] == site), key=lambda x: (x[1]["published_at"] or first, x[0])):
+            t = r["title"].lower()
+
+            def alike(o, r=r, t=t):
+                near = r["published_at"] is None or o["published_at"] is None or abs(r["published_at"] - o["published_at"]) <= 6 * H
+                return near and len(words(t) & words(o["title"])) >= 0.5 * len(words(t) | words(o["title"])) and likeness(t, o["title"].lower()) >= 0.9
+
+            hit = next((k for k in range(len(kept) - 1, max(-1, len(kept) - 1 - lookback), -1) if alike(kept[k][1])), None) if mergeable(t) else None
+            if hit is None:
+                kept.append((i, r))
+            elif kept[hit][1]["published_at"] is None and r["published_at"] is not None:  # a known time is better
+                gone.add(f"i{kept[hit][0]}")
+                kept[hit] = (i, r)
+            else:
+                gone.add(f"i{i}")
+    return gone
+
+
+@pytest.mark.parametrize(("seed", "lookback"), [(5, 60), (6, 7), (7, 3)])
+def test_near_repeats_of_a_hot_site(spark, monkeypatch, seed, lookback):
+    """One site holds half the rows, some without time; with a short lookback what other components keep decides."""
+    rows = made(170, seed, sites=("tech", "tech", "blog", "x", "y"))
+    for r in rows[::23]:
+        r["published_at"] = None
+    monkeypatch.setattr(items, "LOOKBACK", lookback)
+    e = view.with_tier(view.with_event_time(archived(spark, [{**r, "first_seen_at": r["published_at"]} for r in rows])))
+    got = {r.id for r in items.near_repeats(e).collect()}
+    assert got == sequential_repeats(rows, lookback) and got
+
+
+def test_merged_with_items_without_time(spark):
+    rows = made(120, 9)
+    for r in rows[::17]:
+        r["published_at"] = None
+    got = stories.merged(view.with_event_time(archived(spark, [{**r, "first_seen_at": r["published_at"]} for r in rows]))).collect()
+    founder = {r.story_id: r.id for r in got if r.reason == "founder"}
+    assert {r.id: (founder[r.story_id], r.reason) for r in got} == sequential(rows)
+
+
 def test_distinct_items(spark):
     rows = [{"id": i, "title": t, "url": u, "published_at": p} for i, t, u, p in [("a", "Same", "https://a/1", NOW - H), ("b", " same ", "https://A/1/?utm_s=1", NOW - 2 * H), ("c", "same", "https://a/1", None), ("d", "same", "https://a/2", NOW), ("e", "Same", "https://a/1", NOW - H)]]
     e = view.with_event_time(archived(spark, [r | {"first_seen_at": None} for r in rows]))
@@ -143,11 +188,16 @@ def test_daily_items(spark):
 def sequential(rows):
     """Story (its founder) and reason of each item, by the rule in order of time."""
     founders, pages, out = [], {}, {}
-    for i, r in sorted(enumerate(rows), key=lambda x: (x[1]["published_at"], x[0])):
+    first = dt.datetime.min.replace(tzinfo=dt.timezone.utc)
+
+    def near(a, b):
+        return a is None or b is None or abs(a - b) <= 6 * H
+
+    for i, r in sorted(enumerate(rows), key=lambda x: (x[1]["published_at"] or first, x[0])):
         t = r["title"].lower()
         hit, why = pages.get(r["url"]), "canonical_url"
         if hit is None and mergeable(t):
-            hit = next((f for f in founders if abs(rows[f]["published_at"] - r["published_at"]) <= 6 * H and likeness(t, rows[f]["title"].lower()) >= 0.86), None)
+            hit = next((f for f in founders if near(rows[f]["published_at"], r["published_at"]) and likeness(t, rows[f]["title"].lower()) >= 0.86), None)
             why = "title_similarity"
         if hit is None:
             founders.append(i)
