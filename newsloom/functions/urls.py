@@ -1,4 +1,4 @@
-"""Url columns, built from array expressions so that they stay inside code generation."""
+"""Url columns, built from array expressions that stay in the JVM."""
 
 from __future__ import annotations
 
@@ -71,13 +71,28 @@ def _decode(c: Column) -> Column:
     return F.coalesce(F.try_url_decode(c), c)
 
 
+def _with(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _rebuilt(raw: Column, keep) -> Column:
     """The url with only the parameters that ``keep`` accepts by their lower-case key, spelled in one way."""
-    u = strip(raw)
-    kept = F.filter(params(u), lambda p: keep(F.lower(_decode(F.substring_index(p, "=", 1)))))
-    query = F.array_join(F.transform(kept, lambda p: F.concat(_encode(_decode(F.substring_index(p, "=", 1))), F.lit("="), F.when(p.contains("="), _encode(_decode(F.regexp_replace(p, "^[^=]*=", "")))).otherwise(""))), "&")
-    whole = F.concat(scheme(u), F.lit("://"), authority(u), path(u), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
-    return F.when(scheme(u) == "", u).otherwise(F.regexp_replace(whole, "/+$", ""))
+
+    def pair(p: Column) -> Column:
+        return F.struct(_decode(F.substring_index(p, "=", 1)).alias("k"), F.when(p.contains("="), _decode(F.regexp_replace(p, "^[^=]*=", ""))).alias("v"))
+
+    def query(u: Column) -> Column:
+        kept = F.filter(F.transform(params(u), pair), lambda x: keep(F.lower(x["k"])))
+        return F.array_join(F.transform(kept, lambda x: F.concat(_encode(x["k"]), F.lit("="), F.coalesce(_encode(x["v"]), F.lit("")))), "&")
+
+    def whole(u: Column) -> Column:
+        head = F.concat(scheme(u), F.lit("://"), authority(u), path(u))
+        # Most urls have no query; those are done with their head.
+        asked = F.when(u.contains("?"), _with(query(u), lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(""))).otherwise("")
+        return F.when(scheme(u) == "", u).otherwise(F.regexp_replace(F.concat(head, asked), "/+$", ""))
+
+    return _with(strip(raw), whole)
 
 
 def normalize_url(raw: Column) -> Column:

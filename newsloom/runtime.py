@@ -102,18 +102,6 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Puts a small file in the place of an older one once it is written whole."""
-    fs, at = _file(spark, path)
-    _, new = _file(spark, f"{path}.new")
-    out = fs.create(new, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    fs.delete(at, False)
-    if not fs.rename(new, at):
-        raise OSError(f"could not move {path}.new")
-
-
 def write_state(spark: SparkSession, path: str, text: str, number: int) -> None:
     """Puts a small numbered file ``path-N`` beside the older ones, whole or not at all; all but the one before it are removed.
 
