@@ -1,5 +1,8 @@
 import random
 
+import pytest
+
+from newsloom.operators import components as C
 from newsloom.operators.components import components
 
 
@@ -17,7 +20,9 @@ def brute(links):
     return {(x, find(x)) for x in parent if find(x) != x}
 
 
-def test_against_union_find(spark):
+@pytest.mark.parametrize("local", [0, C.LOCAL_LINKS])
+def test_against_union_find(spark, monkeypatch, local):
+    monkeypatch.setattr(C, "LOCAL_LINKS", local)
     rng = random.Random(1)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(i, i + 1) for i in range(1000, 1040)] + [(5000, 5000 + i) for i in range(200)] + [(7, 7), (None, 3)]
     df = spark.createDataFrame(links, "u long, v long")
