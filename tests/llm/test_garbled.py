@@ -95,3 +95,18 @@ def test_every_reading_goes_a_step_further():
             tried += 1
             assert t in G.candidates(g), (t, chain)
     assert tried > 100
+
+
+def test_margins_come_from_all_clean_titles(spark, monkeypatch):
+    """Sound titles that read better otherwise, few and all in some folds: the margin keeps them; each clean title is judged, whatever the partitions."""
+    base = list(dict.fromkeys(titles(1500, seed=82)))
+    rare = [t for i in range(20) if G.hash_of(t := "Tröukek " * 12 + f"Lou {i}") % G.HELD_OUT][:6]
+    rows = base + ["Trˆukek " * 12 + f"Lou {j}" for j in range(60)] + rare * 2
+    best, seen = G._best, []
+    monkeypatch.setattr(G, "_best", lambda counts, *kinds: seen.append(counts) or best(counts, *kinds))
+    frame = spark.createDataFrame(list(enumerate(rows)), "ordinal long, title string")
+    model, margins = G.train(frame.repartition(3))
+    clean = sum(not p.isascii() and not G._suspect(p) for t in rows for p in t.split("|"))
+    assert [counts.loc[counts["kind"] == "sound", "n"].sum() for counts in seen] == [clean, clean]
+    assert G.restore(rare, model, margins) == [None] * len(rare)
+    assert G.train(frame.repartition(7))[1] == margins
