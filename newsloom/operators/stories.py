@@ -13,6 +13,9 @@ One deviation: two titles that share no word (no pair of Han) are never compared
 from __future__ import annotations
 
 import datetime as dt
+import math
+from collections import Counter, deque
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import titles
 from newsloom.functions.ids import story_id
 from newsloom.functions.times import recency
-from newsloom.functions.udf import similarity_from
+from newsloom.functions.udf import ratio, similarity_from
 from newsloom.functions.urls import IDENTITY_KEYS, canonical_story_url
 from newsloom.operators.components import components
 from newsloom.plans.dims import LABELS, importance_of, tier
@@ -33,6 +36,8 @@ LENGTHS = 0.62
 #: Pairs of which the components go to one task together.
 GROUPED = 20_000
 GATE, LIMIT, PENALTY, PICK_JACCARD = 0.72, 20, 0.03, 0.4
+#: Stories that come to the driver at a time; of a source no more are kept before the shuffle, which Spark does up to 1,000.
+BLOCK = 1_000
 
 
 def _prepared(items: DataFrame, identity: tuple[str, ...]) -> DataFrame:
@@ -182,48 +187,89 @@ def penalised(stories: DataFrame, limit: int = LIMIT, penalty: float = PENALTY)
 def brief(stories: DataFrame, limit: int = LIMIT, penalty: float = PENALTY) -> DataFrame:
     """rank, story_id of the brief: greedily the best score less penalties, near repeats of picked ones left out.
 
-    The greedy choice looks at candidates from the top; they come to the driver a block at a time
-    and only until the brief is full, never all stories.
+    The stories that are highest by their score less a penalty for each better one of the source come
+    to the driver in a block of bounded size. It is gone through while no story outside of it can be
+    the next; after that the executors leave out near repeats of what is picked, and another block is
+    taken. A block gives one story at least, so there are at most ``limit`` blocks, of any table.
     """
     spark = stories.sparkSession
-    title = titles.story_title(F.col("title"))
-    d = gated(stories).select("story_id", F.coalesce("source", "source_name", F.lit("")).alias("source"), F.col("score").cast("double").alias("score"), F.coalesce("title", F.lit("")).alias("title"), title.alias("story_title"))
+    points = F.coalesce(F.col("score").try_cast("double"), F.lit(0.0))
+    d = gated(stories).select("story_id", F.coalesce("source", "source_name", F.lit("")).alias("source"), points.alias("score"), F.coalesce("title", F.lit("")).alias("title"))
+    d = cut(d.withColumn("row", F.monotonically_increasing_id()), "brief")
+    picked: list = []
+    whole = False
+    while len(picked) < limit and not whole:
+        left = _compared(d).mapInPandas(_without(picked), _compared(d).schema).select(*d.columns) if picked else d
+        block = _block(left, picked, penalty)
+        whole = len(block) < BLOCK
+        _pick(block, whole, picked, limit, penalty)
+    return spark.createDataFrame([(i, s.story_id) for i, s in enumerate(picked, 1)], "rank int, story_id string")
+
+
+def _compared(d: DataFrame) -> DataFrame:
+    """With the columns by which near repeats are told."""
+    d = d.withColumn("story_title", titles.story_title(F.col("title")))
     d = d.withColumn("words", titles.tokens(F.col("story_title")))
-    d = d.withColumns({"mergeable": titles.mergeable(F.col("story_title"), F.col("words")), "vendors": titles.vendors(F.col("story_title")), "models": titles.models(F.col("story_title"))})
-    picked = _pick(d.orderBy(F.col("score").desc(), "title", "story_id").toLocalIterator(), limit, penalty)
-    return spark.createDataFrame(picked, "rank int, story_id string")
-
+    return d.withColumns({"mergeable": titles.mergeable(F.col("story_title"), F.col("words")), "vendors": titles.vendors(F.col("story_title")), "models": titles.models(F.col("story_title"))})
 
-def _pick(candidates, limit: int, penalty: float) -> list[tuple[int, str]]:
-    from newsloom.functions.udf import ratio
 
-    waiting: list = []
-    picked: list = []
-    per_source: dict[str, int] = {}
-    more = iter(candidates)
-    ahead = next(more, None)
-    while len(picked) < limit:
-        # A story that waits can only be beaten by one not yet seen if that one's plain score is higher.
-        best = max(waiting, key=lambda s: s.score - penalty * per_source.get(s.source, 0), default=None)
-        if ahead is not None and (best is None or ahead.score > best.score - penalty * per_source.get(best.source, 0)):
-            waiting.append(ahead)
-            ahead = next(more, None)
-            continue
-        if best is None:
-            break
-        waiting.remove(best)
-        words = set(best.words)
-        same = best.mergeable and any(
-            words and set(o.words) and len(words & set(o.words)) >= PICK_JACCARD * len(words | set(o.words))
-            and _meet(best.vendors, o.vendors) and _meet(best.models, o.models)
-            and ratio(best.story_title, o.story_title, len(words & set(o.words)) / len(words | set(o.words))) >= MERGE_SIMILARITY
-            for o in picked
-        )
-        if not same:
-            per_source[best.source] = per_source.get(best.source, 0) + 1
+def _block(left: DataFrame, picked: list, penalty: float) -> list:
+    """The first BLOCK rows by what their score would be if all better ones of their source were picked."""
+    order = [F.col("score").desc(), F.col("title"), F.col("story_id"), F.col("row")]
+    known = Counter(s.source for s in picked)
+    before = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), F.col("source")), F.lit(0)) if known else F.lit(0)
+    d = left.withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy(*order))).where(F.col("n") <= BLOCK)
+    d = d.withColumn("least", F.col("score") - penalty * (before + F.col("n") - 1))
+    rows = _compared(d.orderBy(F.col("least").desc(), *order).limit(BLOCK)).collect()
+    return sorted(rows, key=lambda s: (-s.least, -s.score, s.title, s.story_id, s.row))
+
+
+def _pick(block: list, whole: bool, picked: list, limit: int, penalty: float) -> None:
+    """Adds to ``picked`` from a block, all of the rest if ``whole``; ends early if a story outside may be the next."""
+    per_source = Counter(s.source for s in picked)
+    skipped: Counter[str] = Counter()
+    queues: dict[str, deque] = {}
+    for s in block:
+        queues.setdefault(s.source, deque()).append(s)
+    # A source of which all in the block are gone may have others; each that was skipped brings them a penalty nearer.
+    reach = -math.inf
+    while queues and len(picked) < limit:
+        effective, best = min(((penalty * per_source[k] - q[0].score, q[0]) for k, q in queues.items()), key=lambda x: (x[0], -x[1].score, x[1].title, x[1].story_id, x[1].row))
+        if -effective <= reach:
+            return
+        queues[best.source].popleft()
+        if _repeated(best, picked):
+            skipped[best.source] += 1
+        else:
+            per_source[best.source] += 1
             picked.append(best)
-    return [(i, s.story_id) for i, s in enumerate(picked, 1)]
+        if not queues[best.source]:
+            del queues[best.source]
+            if not whole and skipped[best.source]:
+                reach = max(reach, block[-1].least + penalty * skipped[best.source] + 1e-9)
+
+
+def _repeated(s, picked: list) -> bool:
+    """Whether a story is a near repeat of a picked one."""
+    words = set(s.words)
+    return bool(s.mergeable) and any(
+        words and set(o.words) and len(words & set(o.words)) >= PICK_JACCARD * len(words | set(o.words))
+        and _meet(s.vendors, o.vendors) and _meet(s.models, o.models)
+        and ratio(s.story_title, o.story_title, len(words & set(o.words)) / len(words | set(o.words))) >= MERGE_SIMILARITY
+        for o in picked
+    )
+
+
+def _without(picked: list):
+    """Leaves out of batches what is picked and what repeats it."""
+    rows = {s.row for s in picked}
+
+    def left(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b[[s.row not in rows and not _repeated(s, picked) for s in b.itertuples(index=False)]]
+
+    return left
 
 
 def _meet(a, b) -> bool:
-    return not a or not b or bool(set(a) & set(b))
+    return not len(a) or not len(b) or bool(set(a) & set(b))

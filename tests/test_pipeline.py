@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import signal
 
 import pytest
 from pyspark.sql import functions as F
@@ -256,6 +257,39 @@ def test_brief(spark, seed):
     assert stories.brief(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [1, 2, 7])
+def test_brief_by_small_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(stories, "BLOCK", block)
+    rng = random.Random(block)
+    # Source a begins with repeats of one title, so that its later stories come nearer than their rank tells.
+    table = [{"story_id": f"r{i:02}", "title": f"Harbour council repairs the northern bridge again {'x' * (i % 3)}", "source": "a", "score": 0.99} for i in range(9)]
+    table += [{"story_id": f"s{i:02}", "title": f"T{rng.randrange(10**6)}", "source": rng.choice("aabc"), "score": round(rng.uniform(0.75, 1), 2)} for i in range(40)]
+    table = [s | {"source_name": "n", "source_count": 2} for s in table]
+    df = spark.createDataFrame(table, "story_id string, title string, source string, score double, source_name string, source_count int").repartition(3)
+    got = [r.story_id for r in stories.brief(df, 8, 0.03).orderBy("rank").collect()]
+    assert got == brief_model(sorted(table, key=lambda s: s["story_id"]), 8, 0.03)
+
+
+def test_brief_of_many_near_scores(spark):
+    """Only a block comes to the driver, not all stories that score near the best."""
+    n = 60_000
+    i = F.col("id")
+    df = spark.range(n).select(F.concat(F.lit("s"), i).alias("story_id"), (i % 3).cast("string").alias("source"), F.lit("").alias("source_name"), F.concat(F.lit("T"), i).alias("title"), (1 - i / 10.0 / n).alias("score"), F.lit(1).alias("source_count"))
+    seen = []
+
+    def late(*_):
+        raise TimeoutError
+
+    before = signal.signal(signal.SIGALRM, late)
+    signal.alarm(60)
+    try:
+        seen = [r.story_id for r in stories.brief(df).orderBy("rank").collect()]
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+    assert len(seen) == 20 and seen[:3] == ["s0", "s1", "s2"] and sum(int(s[1:]) % 3 == 0 for s in seen) in (6, 7)
+
+
 # ---- statistics and the whole run ----------------------------------------------------------------------
 
 
