@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from newsloom.functions import feeds as rules
 from newsloom.functions import ids, text, times, titles, urls
 from newsloom.functions.udf import similarity, undo_mojibake
-from newsloom.operators import archive, blocks, captions, items, stats, stories, view
+from newsloom.operators import archive, blocks, captions, items, likeness, stats, stories, view
 from newsloom.plans.dims import importance_of
 from newsloom.runtime import cut, table
 from newsloom.sources.vtt import explode_cues
@@ -399,21 +399,14 @@ SELECT n.ordinal, c.rep AS class_ordinal, coalesce(l.links, 0) AS n_links FROM n
 def title_jaccard_links(spark: SparkSession, d: str) -> DataFrame:
     """Each title with the class of titles of the same words, and with how many other classes share four fifths of the words.
 
-    Only classes are compared, by an equi-join on prefixes of their rarest words: two sets of that
-    likeness share a word among the first n - ceil(0.8 n) + 1, so no link is lost.
+    Only classes are compared, and most of them are counted at shared subsets of their words, without pairs.
     """
     words = F.array_sort(titles.tokens(F.col("title")))
-    n = table(spark, d, "archive_item").select("ordinal", words.alias("words")).where("size(words) > 0").withColumn("key", F.array_join("words", " "))
-    classes = cut(n.groupBy("key").agg(F.min("ordinal").alias("rep"), F.min("words").alias("words")), "classes")
-    each = classes.select("rep", F.explode("words").alias("word"))
-    rare = each.groupBy("word").agg(F.count("*").alias("df"))
-    ranked = each.join(rare, "word").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "word"))).alias("r"))
-    prefix = ranked.select("rep", F.explode(F.slice("r", F.lit(1), F.size("r") - F.ceil(F.size("r") * 0.8).cast("int") + 1)).alias("p")).select("rep", F.col("p.word").alias("word"))
-    pairs = prefix.select("word", F.col("rep").alias("a")).join(prefix.select("word", F.col("rep").alias("b")), "word").where("a < b").select("a", "b").distinct()
-    x, y = classes.select(F.col("rep").alias("a"), F.col("words").alias("x")), classes.select(F.col("rep").alias("b"), F.col("words").alias("y"))
-    linked = pairs.join(x, "a").join(y, "b").where(titles.jaccard(F.col("x"), F.col("y")) >= 0.8)
-    links = linked.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    return n.join(classes.select("key", "rep"), "key").join(links, "rep", "left").select("ordinal", F.col("rep").alias("class_ordinal"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    n = table(spark, d, "archive_item").select("ordinal", F.array_join(words, " ").alias("key")).where("key <> ''")
+    classes = cut(n.groupBy("key").agg(F.min("ordinal").alias("rep")), "classes")
+    links = likeness.alike(classes.select("rep", F.split("key", " ").alias("words")))
+    c = classes.join(links, "rep", "left").select("key", F.col("rep").alias("class_ordinal"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return n.join(c, "key").select("ordinal", "class_ordinal", "n_links")
 
 
 # ---- stories -----------------------------------------------------------------------------------------
